@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import accumulate
+from itertools import accumulate, chain
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.buckets import even_bucket_sql
-from clickloom.functions.hashing import PORTABLE, bucket_sql
+from clickloom.functions.buckets import even_bucket_guess_sql, even_bucket_sql
+from clickloom.functions.hashing import PORTABLE, bucket_sql, cross_sql, hash32_sql
 
 # Selected features and their hash bucket counts.
 HASH_SIZES = {
@@ -74,45 +74,51 @@ DEEP_NUMERIC = ["fea23", "fea22", "fea24", "fea7", "fea1", "fea16"]
 #: Width of the dense form of each categorical feature.
 EMBEDDING_WIDTH = 8
 
-#: Between the two texts of a cross, so that ('a', 'bc') and ('ab', 'c') differ.
-_GLUE = "\\u0001"
-
-
-def _text(column: str) -> str:
-    return f"coalesce(cast(`{column}` as string), '')"
-
-
 @dataclass(frozen=True)
 class EncoderSpec:
-    """Which columns are hashed and crossed, into how many buckets, by which hash."""
+    """Which columns are hashed, bucketed and crossed, and by which hash.
+
+    The encodings are SQL text in layers: a layer reads the columns of the ones
+    before it, so each value is hashed once however many ids use it.
+    """
 
     hashed: Mapping[str, int] = field(default_factory=lambda: dict(HASH_SIZES))
     crossed: Mapping[tuple[str, str], int] = field(default_factory=lambda: dict(CROSS_SIZES))
     edges: Mapping[str, tuple[float, float, int]] = field(default_factory=lambda: dict(EVEN_EDGES))
     method: str = PORTABLE
 
+    def _hashes(self, columns: Iterable[str]) -> dict[str, str]:
+        return {f"_h_{c}": hash32_sql(f"coalesce(cast(`{c}` as string), '')", self.method) for c in columns}
+
+    def hashes(self) -> dict[str, str]:
+        """Layer of value hashes for :meth:`hash_ids` and :meth:`cross_ids`."""
+        return self._hashes(dict.fromkeys([*self.hashed, *chain.from_iterable(self.crossed)]))
+
     def hash_ids(self) -> dict[str, str]:
-        """Column name to SQL of the hash id of each feature."""
-        return {f"{c}_id": bucket_sql(_text(c), n, self.method) for c, n in self.hashed.items()}
+        """Hash id of each feature."""
+        return {f"{c}_id": bucket_sql(f"_h_{c}", n) for c, n in self.hashed.items()}
 
     def cross_ids(self) -> dict[str, str]:
-        """The same for each crossed pair of raw features."""
-        return {
-            f"{a}_x_{b}": bucket_sql(f"concat({_text(a)}, '{_GLUE}', {_text(b)})", n, self.method)
-            for (a, b), n in self.crossed.items()
-        }
+        """Hash id of each crossed pair of raw features."""
+        return {f"{a}_x_{b}": cross_sql(f"_h_{a}", f"_h_{b}", n) for (a, b), n in self.crossed.items()}
+
+    def bucket_values(self) -> dict[str, str]:
+        return {f"_v_{c}": f"cast(`{c}` as double)" for c in self.edges}
+
+    def bucket_guesses(self) -> dict[str, str]:
+        return {f"_g_{c}": even_bucket_guess_sql(f"_v_{c}", *edge) for c, edge in self.edges.items()}
 
     def bucket_ids(self) -> dict[str, str]:
         """Bucket id of each feature that has edges."""
-        return {f"{c}_bucket": even_bucket_sql(f"`{c}`", *edge) for c, edge in self.edges.items()}
+        return {f"{c}_bucket": even_bucket_sql(f"_g_{c}", f"_v_{c}", *edge) for c, edge in self.edges.items()}
+
+    def bucket_hashes(self) -> dict[str, str]:
+        return self._hashes(f"{c}_bucket" for c in dict.fromkeys(chain.from_iterable(self.crossed)))
 
     def bucket_cross_ids(self) -> dict[str, str]:
-        """Hash ids of the crossed bucket ids (over columns made by :meth:`bucket_ids`)."""
+        """Hash id of each crossed pair of bucket ids."""
         return {
-            f"{a}_bx_{b}": bucket_sql(
-                f"concat({_text(a + '_bucket')}, '{_GLUE}', {_text(b + '_bucket')})", n, self.method
-            )
-            for (a, b), n in self.crossed.items()
+            f"{a}_bx_{b}": cross_sql(f"_h_{a}_bucket", f"_h_{b}_bucket", n) for (a, b), n in self.crossed.items()
         }
 
     def sizes(self) -> list[int]:
@@ -127,32 +133,49 @@ class EncoderSpec:
         return [0, *accumulate(self.sizes())][:-1]
 
 
-def _add(rows: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    return rows.select("*", *[F.expr(sql).alias(name) for name, sql in columns.items()])
+def _layered(rows: DataFrame, *layers: Mapping[str, str]) -> DataFrame:
+    """Add the layers one on top of the other; names with a leading underscore do not stay."""
+    kept = list(rows.columns)
+    for layer in layers[:-1]:
+        rows = rows.selectExpr("*", *[f"{sql} as `{name}`" for name, sql in layer.items()])
+        kept += [name for name in layer if not name.startswith("_")]
+    return rows.selectExpr(*[f"`{c}`" for c in kept], *[f"{sql} as `{name}`" for name, sql in layers[-1].items()])
 
 
 def add_hash_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
-    return _add(rows, spec.hash_ids())
+    return _layered(rows, spec.hashes(), spec.hash_ids())
 
 
 def add_cross_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
-    return _add(rows, spec.cross_ids())
+    return _layered(rows, spec.hashes(), spec.cross_ids())
 
 
 def add_bucket_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
-    return _add(rows, spec.bucket_ids())
+    return _layered(rows, spec.bucket_values(), spec.bucket_guesses(), spec.bucket_ids())
 
 
 def add_bucket_cross_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
     """Bucket both features of a pair, then hash the pair of bucket ids."""
-    return _add(add_bucket_ids(rows, spec), spec.bucket_cross_ids())
+    return _layered(add_bucket_ids(rows, spec), spec.bucket_hashes(), spec.bucket_cross_ids())
 
 
 def add_wide_positions(rows: DataFrame, spec: EncoderSpec = EncoderSpec(), name: str = "wide") -> DataFrame:
     """Array of the positions that are 1 in the wide vector, ascending: offset plus id of each column."""
-    ids = [*spec.hash_ids().values(), *spec.cross_ids().values()]
-    positions = [f"{sql} + {offset}L" for sql, offset in zip(ids, spec.offsets(), strict=True)]
-    return rows.select("*", F.expr(f"array({', '.join(positions)})").alias(name))
+    ids = ", ".join([*spec.hash_ids().values(), *spec.cross_ids().values()])
+    offsets = ", ".join(f"{o}L" for o in spec.offsets())
+    return _layered(
+        rows, spec.hashes(), {name: f"zip_with(array({ids}), array({offsets}), (id, start) -> start + id)"}
+    )
+
+
+def encode_statement(spec: EncoderSpec, crosses: bool) -> str:
+    """The ids as one SQL statement over ``__THIS__``, for a pipeline stage."""
+    ids = {**spec.hash_ids(), **(spec.cross_ids() if crosses else {})}
+
+    def listed(columns: Mapping[str, str]) -> str:
+        return ", ".join(f"{sql} as `{name}`" for name, sql in columns.items())
+
+    return f"select *, {listed(ids)} from (select *, {listed(spec.hashes())} from __THIS__)"
 
 
 def numeric(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -382,8 +382,12 @@ def _bucket(text: str, size: int) -> str:
     return f"{_hash32(text)} % {size}"
 
 
-def _pair(a: str, b: str) -> str:
-    return f"{a} || chr(1) || {b}"
+def _cross(a: str, b: str, size: int) -> str:
+    return f"({_hash32(a)} * 1000003 + {_hash32(b)}) % {size}"
+
+
+def _text(c: str) -> str:
+    return f"CAST({c} AS VARCHAR)"
 
 
 for _c, (_lo, _hi, _n) in EVEN_EDGES.items():
@@ -408,9 +412,9 @@ FROM lineitem"""
 ORACLE["hash_ids"] = _with("fea") + f"SELECT {_FEA_KEYS}, " + ", ".join(
     f"{_bucket(f'CAST({c} AS VARCHAR)', n)} AS {c}_id" for c, n in HASH_SIZES.items()) + " FROM fea"
 ORACLE["cross_ids"] = _with("fea") + f"SELECT {_FEA_KEYS}, " + ", ".join(
-    f"{_bucket(_pair(a, b), n)} AS {a}_x_{b}" for (a, b), n in CROSS_SIZES.items()) + " FROM fea"
+    f"{_cross(_text(a), _text(b), n)} AS {a}_x_{b}" for (a, b), n in CROSS_SIZES.items()) + " FROM fea"
 ORACLE["bucket_cross_ids"] = _with("bucketed") + f"SELECT {_FEA_KEYS}, " + ", ".join(
-    f"{_bucket(_pair(a + '_bucket', b + '_bucket'), n)} AS {a}_bx_{b}" for (a, b), n in CROSS_SIZES.items()) + " FROM bucketed"
+    f"{_cross(_text(a + '_bucket'), _text(b + '_bucket'), n)} AS {a}_bx_{b}" for (a, b), n in CROSS_SIZES.items()) + " FROM bucketed"
 
 
 def _wide() -> str:
@@ -419,7 +423,7 @@ def _wide() -> str:
         parts.append(f"({start} + {_bucket(f'CAST({c} AS VARCHAR)', n)})")
         start += n
     for (a, b), n in CROSS_SIZES.items():
-        parts.append(f"({start} + {_bucket(_pair(a, b), n)})")
+        parts.append(f"({start} + {_cross(_text(a), _text(b), n)})")
         start += n
     return " || ' ' || ".join(parts)
 
