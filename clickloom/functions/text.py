@@ -84,7 +84,12 @@ def key_device(key: ColumnOrName) -> Column:
 
 def record(*columns: ColumnOrName, sep: str = ",") -> Column:
     """Delimited record; a NULL prints as ``None`` and keeps its place."""
-    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("None")) for c in columns])
+    shown = [
+        F.expr(f"coalesce(cast({c} as string), 'None')") if isinstance(c, str)
+        else F.coalesce(c.cast("string"), F.lit("None"))
+        for c in columns
+    ]
+    return F.concat_ws(sep, *shown)
 
 
 def fixed_point(number: ColumnOrName) -> Column:

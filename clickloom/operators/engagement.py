@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import to_double, usable_id
@@ -32,7 +32,6 @@ def read_time_by_item(log: DataFrame) -> DataFrame:
     The user is the member id or else the device. A user on several devices has
     several rows here and meets each of them in :func:`add_read_time`.
     """
-    user: Column = F.coalesce("header_mi", "device")
     return (
         log.where(
             (log_field("channel") == FEED_CHANNEL)
@@ -40,8 +39,11 @@ def read_time_by_item(log: DataFrame) -> DataFrame:
             & usable_id("device")
         )
         .groupBy("device", "header_mi", log_field("selectedId").alias("content_id"))
-        .agg(F.max(user).alias("user_id"), F.max(to_double(log_field("useTime"))).alias("read_time"))
-        .select("user_id", "header_mi", "device", "read_time", "content_id")
+        .agg(F.max(to_double(log_field("useTime"))).alias("read_time"))
+        # the user follows from the keys; a text maximum would turn this into a sort aggregate
+        .select(
+            F.coalesce("header_mi", "device").alias("user_id"), "header_mi", "device", "read_time", "content_id"
+        )
     )
 
 

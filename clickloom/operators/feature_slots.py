@@ -37,8 +37,8 @@ def flatten_replies(replies: DataFrame, entity: str = "entity_id", reply: str =
 
 
 def _declared_type(slots: Sequence[S.FeatureSlot]) -> Column:
-    types = F.create_map(*[F.lit(x) for s in slots for x in (s.feature, s.value_type)])
-    return F.try_element_at(types, F.col("feature_name"))
+    types = ", ".join(f"'{s.feature}', '{s.value_type}'" for s in slots)
+    return F.expr(f"map({types})[feature_name]")
 
 
 def parse_values(snapshot: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:
@@ -61,18 +61,21 @@ def fill_slots(values: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:
     A single aggregation: partial results are merged before the shuffle, so an
     entity with a large share of the rows costs no more than another.
     """
-    name = F.col("feature_name")
-    filled = values.groupBy("entity_id").agg(
-        *[
-            F.max_by(F.when(name == s.feature, F.col("value")), F.when(name == s.feature, F.col("ord"))).alias(s.column)
-            for s in slots
-        ]
-    )
-    return with_slot_defaults(filled, slots)
+    return values.groupBy("entity_id").agg(*[
+        F.expr(
+            f"coalesce(max_by(if(feature_name = '{s.feature}', value, null),"
+            f" if(feature_name = '{s.feature}', ord, null)), '{s.default}') as {s.column}"
+        )
+        for s in slots
+    ])
 
 
 def with_slot_defaults(rows: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:
-    return rows.withColumns({s.column: F.coalesce(F.col(s.column), F.lit(s.default)) for s in slots})
+    """Fill the slots an outer join left empty."""
+    defaults = {s.column: s.default for s in slots}
+    return rows.selectExpr(
+        *[f"coalesce(`{c}`, '{defaults[c]}') as `{c}`" if c in defaults else f"`{c}`" for c in rows.columns]
+    )
 
 
 def slot_table(snapshot: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:

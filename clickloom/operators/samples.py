@@ -7,39 +7,47 @@ from pyspark.sql import functions as F
 
 from clickloom import schemas as S
 from clickloom.functions.hashing import split_flag
-from clickloom.functions.text import fixed_point, record, to_whole
+from clickloom.functions.text import fixed_point, record
 from clickloom.operators.feature_slots import slot_record
 
-_WHOLE = {"int", "bigint"}
+# Where a sample column comes from, when not from the slot of its name.
+_MADE = {
+    "u_id": "coalesce(uid, device)",
+    "u_device_id": "device",
+    "u_content_id": "content_id",
+    "u_wlx_content_id": "wlx_content_id",
+    "i_recall_from": "recall_from",
+    "i_pos": "pos",
+    "l_click": "click",
+    "l_read_time": "read_time",
+    "l_share": "0",
+    "l_comment": "0",
+    "l_praise": "0",
+}
+_SPLIT_INPUTS = ["uid", "device", "wlx_content_id"]
 
 
-def finish_samples(rows: DataFrame, *partitions: str) -> DataFrame:
-    """Rows with labels and slot texts to the sample schema plus ``partitions``.
+def _split() -> Column:
+    return split_flag(*[F.col(c) for c in _SPLIT_INPUTS], slot_record(S.USER_SLOTS))
+
+
+def finish_samples(rows: DataFrame, *keep: str) -> DataFrame:
+    """Rows with labels and slot texts to the sample schema, plus the columns to ``keep``.
 
     Number columns are cut from their texts (``'0.0'`` to 0). The split hash takes
     the user id as logged, before the device stands in for a missing one. Share,
     comment and praise are not logged and are 0.
     """
-    made: dict[str, Column] = {
-        "r_type": split_flag(F.col("uid"), F.col("device"), F.col("wlx_content_id"), slot_record(S.USER_SLOTS)),
-        "u_id": F.coalesce("uid", "device"),
-        "u_device_id": F.col("device"),
-        "u_content_id": F.col("content_id"),
-        "u_wlx_content_id": F.col("wlx_content_id"),
-        "i_recall_from": F.col("recall_from"),
-        "i_pos": F.col("pos"),
-        "l_click": F.col("click"),
-        "l_read_time": F.col("read_time"),
-        "l_share": F.lit(0),
-        "l_comment": F.lit(0),
-        "l_praise": F.lit(0),
-    }
-    columns = []
+    columns: list[Column] = []
     for field in S.SAMPLE_SCHEMA:
-        value = made.get(field.name, F.col(field.name))
-        kind = field.dataType.simpleString()
-        columns.append((to_whole(value, kind) if kind in _WHOLE else value.cast(kind)).alias(field.name))
-    return rows.select(*columns, *partitions)
+        source, kind = _MADE.get(field.name, field.name), field.dataType.simpleString()
+        if field.name == "r_type":
+            columns.append(_split().alias("r_type"))
+        elif field.name in _MADE or kind == "string":
+            columns.append(F.expr(f"try_cast({source} as {kind}) as {field.name}"))
+        else:
+            columns.append(F.expr(f"try_cast(try_cast({source} as double) as {kind}) as {field.name}"))
+    return rows.select(*columns, *keep)
 
 
 def sample_record(rows: DataFrame, sep: str = ",") -> DataFrame:
@@ -58,7 +66,7 @@ def sample_record(rows: DataFrame, sep: str = ",") -> DataFrame:
         F.lit(0),
         F.lit(0),
         F.lit(0),
-        split_flag(F.col("uid"), F.col("device"), F.col("wlx_content_id"), slot_record(S.USER_SLOTS)),
+        _split(),
         sep=sep,
     )
     return rows.select(line.alias("value"))
