@@ -29,12 +29,13 @@ def _encode_buckets(spark, sf):
 BENCH = {
     **{name: QUERIES[name] for name in (
         "positions", "read_time_by_item", "new_user_impressions", "labelled_positions", "item_slots", "user_slots",
-        "full_samples", "partition_overwrite", "reply_slots", "training_log_progress",
+        "full_samples", "reply_slots", "training_log_progress",
     )},
     "encode_wide": _encode,
     "encode_bucket_crosses": _encode_buckets,
     **{name: QUERIES[name] for name in (
         "batches", "throughput_by_steps", "sampled_by_steps", "evaluation_metrics", "areas_overall", "train_wide",
+        "train_deep",
     )},
 }
 

@@ -133,7 +133,8 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> None:
     if job.item_ids:
         ids = exposure.distinct_items(audience.only_new_users(impressions, users))
         sinks.write_text(ids, f"{job.item_ids}/{ds}/{hh}")
-    sinks.write_partitions(build_samples(inputs, HotKeys.of(impressions)), job.samples, fmt=job.fmt, files=job.files)
+    built = build_samples(inputs, HotKeys.of(impressions))
+    sinks.write_partitions(built, job.samples, fmt=job.fmt, files=job.files, one_partition=True)
     if job.table:
         sinks.create_sample_table(spark, job.table, job.samples, fmt=job.fmt, replace=False)
         sinks.add_partition(spark, job.table, f"{job.samples}/ds={ds}/hh={hh}", ds=ds, hh=hh)

@@ -22,10 +22,15 @@ def write_partitions(
     fmt: str = "parquet",
     files: int | None = None,
     sep: str = ",",
+    one_partition: bool = False,
 ) -> None:
-    """Replace just the partitions that ``rows`` has; all others stay. Safe to run again."""
+    """Replace just the partitions that ``rows`` has; all others stay. Safe to run again.
+
+    Rows are brought together by partition so that each gets few files. When all
+    rows belong to ``one_partition`` they are spread evenly instead.
+    """
     writer = (
-        _sized(rows, files, *by)
+        _sized(rows, files, *([] if one_partition else by))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

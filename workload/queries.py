@@ -671,7 +671,9 @@ def areas_overall(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(evaluation.areas(views.scored(spark, sf), bins=512), ["auc", "auc_precision_recall"])
 
 
-_TRAINING = training.TrainingSpec(wide_size=1 << 14, max_iter=5, deep_iter=5)
+def _training(spark: SparkSession) -> training.TrainingSpec:
+    return training.TrainingSpec(
+        wide_size=1 << 14, max_iter=5, deep_iter=5, partitions=spark.sparkContext.defaultParallelism)
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -682,7 +684,7 @@ def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def _trained(model_type: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        _, metrics = training.train_and_evaluate(_training_rows(spark, sf), model_type, _TRAINING)
+        _, metrics = training.train_and_evaluate(_training_rows(spark, sf), model_type, _training(spark))
         return metrics
 
     return run
@@ -708,6 +710,6 @@ def export_and_score(spark: SparkSession, sf: str) -> DataFrame:
     """A model saved, loaded and applied to all rows; mean score per label."""
     path = scratch_path(spark, "model")
     rows = _training_rows(spark, sf)
-    training.export_model(training.fit(rows.where(F.col("r_type") == 1), training.WIDE, _TRAINING), path)
+    training.export_model(training.fit(rows.where(F.col("r_type") == 1), training.WIDE, _training(spark)), path)
     scored = training.score(training.load_model(path), rows, training.WIDE, ["label"])
     return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score"))
