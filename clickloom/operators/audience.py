@@ -32,15 +32,26 @@ def attach_new_user(
 def keep_new_user_clicks(
     clicks: DataFrame, users: DataFrame, hot_devices: DataFrame | None = None, expand: bool = True
 ) -> DataFrame:
-    """Clicks of new users; the dimension adds no column but a device listed m times gives m clicks."""
-    folded = count_copies(users, ["device"], "copies")
-    joined = skew_join(clicks, folded, "device", "inner", hot_devices)
+    """Clicks of new users; the dimension adds no column but a device listed m times gives m clicks.
+
+    Equal clicks are folded into ``copies`` before anything is joined, which also
+    melts down a device or pair that holds a large share of them.
+    """
+    columns = [c for c in clicks.columns if c != "copies"]
+    folded = count_copies(clicks, columns, "copies", "copies" if "copies" in clicks.columns else None)
+    listed = count_copies(users, ["device"], "_listed")
+    joined = skew_join(folded, listed, "device", "inner", hot_devices).select(
+        *columns, (F.col("copies") * F.col("_listed")).alias("copies")
+    )
     return expand_copies(joined, "copies") if expand else joined
 
 
-def only_new_users(rows: DataFrame, users: DataFrame) -> DataFrame:
+def only_new_users(rows: DataFrame, users: DataFrame, hot_devices: DataFrame | None = None) -> DataFrame:
     """The same filter without the fan-out: a row stays as often as it came in."""
-    return rows.join(users.select("device").distinct(), "device", "left_semi")
+    devices = users.select("device").distinct()
+    if hot_devices is None:
+        return rows.join(devices, "device", "left_semi")
+    return skew_join(rows, devices, "device", "inner", hot_devices).select(*rows.columns)
 
 
 def hot_devices(rows: DataFrame, **limits: int) -> DataFrame:

@@ -52,10 +52,11 @@ def add_read_time(
 ) -> DataFrame:
     """Clicks with the read time of (user, item), 0.0 when there is none.
 
-    ``clicks`` may carry ``copies``; equal read times of a pair are folded into it.
+    Equal clicks (``clicks`` may carry ``copies`` already) and equal read times of a
+    pair are folded before the join.
     """
     if "copies" not in clicks.columns:
-        clicks = clicks.withColumn("copies", F.lit(1).cast("bigint"))
+        clicks = count_copies(clicks, clicks.columns, "copies")
     folded = count_copies(read_time, ["user_id", "content_id", "read_time"], "_times")
     joined = skew_join(clicks, folded, ["user_id", "content_id"], "left", hot_users)
     rows = joined.select(

@@ -12,6 +12,9 @@ from clickloom.functions.text import any_null
 
 #: Rows of one key that a single task may hold; a key with more is split.
 ROWS_PER_TASK = 2_000_000
+#: Most keys that are split, whatever the size of the data; the others hold less
+#: than this part of the rows each. Bounds what skew_join broadcasts.
+MOST_HOT_KEYS = 50_000
 #: NULL keys match nothing, so they can be spread over every task without replicas.
 NULL_SPREAD = 1 << 20
 
@@ -22,17 +25,15 @@ _PIECES = "_pieces"
 def hot_keys(rows: DataFrame, keys: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows, and into how many pieces to cut each.
 
-    Counts are partly summed before the shuffle. At most ``rows / rows_per_task``
-    keys can qualify, which is what bounds the broadcast in :func:`skew_join`:
-    10^12 rows give at most 500,000 keys.
+    Counts are partly summed before the shuffle. A key must also hold more than
+    1 / ``MOST_HOT_KEYS`` of the rows, so no more than that many keys can qualify
+    and the result is small enough to broadcast at any scale.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    return (
-        rows.where(~any_null(*keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_task)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(_PIECES))
+    counts = rows.where(~any_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n") / F.lit(MOST_HOT_KEYS)).scalar()
+    return counts.where((F.col("_n") > rows_per_task) & (F.col("_n") > share)).select(
+        *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(_PIECES)
     )
 
 

@@ -12,6 +12,7 @@ from clickloom import schemas as S
 from clickloom.operators import audience, engagement, exposure, feature_slots, samples
 from clickloom.operators.joins import expand_copies, hot_keys
 from clickloom.sources import logs, sinks
+from clickloom.sources.scratch import stage
 
 
 @dataclass(frozen=True)
@@ -28,7 +29,7 @@ class SampleInputs:
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys to cut in pieces, found on the raw impressions before anything is parsed."""
+    """Keys to cut in pieces, found on impressions (all or staged) before any props are parsed."""
 
     devices: DataFrame
     items: DataFrame
@@ -51,40 +52,52 @@ class HotKeys:
         )
 
 
-def labelled_positions(inputs: SampleInputs, hot: HotKeys | None = None, expand: bool = True) -> DataFrame:
+def shown_to_new_users(inputs: SampleInputs, hot_devices: DataFrame | None = None) -> DataFrame:
+    """Impressions of new users, equal dimension rows folded in ``copies``."""
+    return audience.attach_new_user(inputs.impressions, inputs.new_users, hot_devices, expand=False)
+
+
+def labelled_positions(
+    inputs: SampleInputs, hot: HotKeys | None = None, expand: bool = True, shown: DataFrame | None = None
+) -> DataFrame:
     """Shown (item, position) rows of new users with ``click`` and ``read_time``.
 
     Equal rows travel folded (``copies``) through the joins and are written out at
     the end, so the fan-out of repeated dimension and click rows is never shuffled.
+    ``shown`` takes :func:`shown_to_new_users` from a staged table.
     """
-    shown = audience.attach_new_user(
-        inputs.impressions, inputs.new_users, hot.devices if hot else None, expand=False
-    )
-    shows = exposure.explode_positions(shown)
+    devices = hot.devices if hot else None
+    if shown is None:
+        shown = shown_to_new_users(inputs, devices)
     clicks = audience.keep_new_user_clicks(
-        engagement.feed_clicks(inputs.click_log), inputs.new_users, hot.devices if hot else None, expand=False
+        engagement.feed_clicks(inputs.click_log), inputs.new_users, devices, expand=False
     )
     clicks = engagement.add_read_time(clicks, engagement.read_time_by_item(inputs.read_log), expand=False)
+    shows = exposure.explode_positions(shown)
     return engagement.label_clicks(shows, clicks, hot.pairs if hot else None, expand=expand)
 
 
-def featured_rows(inputs: SampleInputs, hot: HotKeys | None = None) -> DataFrame:
+def featured_rows(
+    inputs: SampleInputs, hot: HotKeys | None = None, shown: DataFrame | None = None
+) -> DataFrame:
     """Labelled rows with all item and user slots.
 
     Item slots first, user slots last: the long user texts are then attached
     by the final join and no later shuffle carries them.
     """
-    rows = labelled_positions(inputs, hot, expand=False)
+    rows = labelled_positions(inputs, hot, expand=False, shown=shown)
     items = feature_slots.slot_table(inputs.item_features, S.ITEM_SLOTS)
     users = feature_slots.slot_table(inputs.user_features, S.USER_SLOTS)
     rows = feature_slots.attach_slots(rows, "content_id", items, S.ITEM_SLOTS, hot.items if hot else None)
     return feature_slots.attach_slots(rows, "uid", users, S.USER_SLOTS, hot.users if hot else None)
 
 
-def build_samples(inputs: SampleInputs, hot: HotKeys | None = None) -> DataFrame:
+def build_samples(
+    inputs: SampleInputs, hot: HotKeys | None = None, shown: DataFrame | None = None
+) -> DataFrame:
     """The 38-column samples, with ``ds`` and ``hh`` where the impressions have them."""
     partitions = [c for c in ("ds", "hh") if c in inputs.impressions.columns]
-    made = samples.finish_samples(featured_rows(inputs, hot), "copies", *partitions)
+    made = samples.finish_samples(featured_rows(inputs, hot, shown), "copies", *partitions)
     return expand_copies(made, "copies").select(*S.SAMPLE_COLUMNS, *partitions)
 
 
@@ -117,7 +130,11 @@ class HourlyJob:
 
 
 def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> None:
-    """Build and write one hour, replacing it if it is there, and register the partition."""
+    """Build and write one hour, replacing it if it is there, and register the partition.
+
+    The hour's log texts are read once: the impressions of new users, a small part
+    of them, are staged, and the item ids, the hot keys and the samples come from there.
+    """
     log = logs.read_table(spark, job.event_log, S.EVENT_LOG_SCHEMA, row_id=True)
     collect = logs.read_table(spark, job.collect_log, S.COLLECT_LOG_SCHEMA)
     impressions = logs.impressions_of(logs.log_hour(log, ds, hh, logs.IMPRESSION_CMD))
@@ -130,10 +147,10 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> None:
         item_features=logs.feature_snapshot(spark, job.item_features, job.snapshot_ds),
         user_features=logs.feature_snapshot(spark, job.user_features, job.snapshot_ds),
     )
+    shown = stage(shown_to_new_users(inputs, audience.hot_devices(impressions)), "shown")
     if job.item_ids:
-        ids = exposure.distinct_items(audience.only_new_users(impressions, users))
-        sinks.write_text(ids, f"{job.item_ids}/{ds}/{hh}")
-    built = build_samples(inputs, HotKeys.of(impressions))
+        sinks.write_text(exposure.distinct_items(shown), f"{job.item_ids}/{ds}/{hh}")
+    built = build_samples(inputs, HotKeys.of(shown), shown)
     sinks.write_partitions(built, job.samples, fmt=job.fmt, files=job.files, one_partition=True)
     if job.table:
         sinks.create_sample_table(spark, job.table, job.samples, fmt=job.fmt, replace=False)

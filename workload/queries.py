@@ -233,7 +233,8 @@ def positions(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def distinct_items(spark: SparkSession, sf: str) -> DataFrame:
-    shown = audience.only_new_users(views.impressions(spark, sf), views.new_users(spark, sf))
+    rows = views.impressions(spark, sf)
+    shown = audience.only_new_users(rows, views.new_users(spark, sf), audience.hot_devices(rows))
     return exposure.distinct_items(shown)
 
 
