@@ -31,6 +31,9 @@ def test_query_equals_its_sql(spark, duck, name):
     names = [d[0] for d in cursor.description]
     assert sorted(frame.columns) == sorted(names)
     assert rows_of(frame.columns, got) == rows_of(names, cursor.fetchall())
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    for costly in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert costly not in plan
 
 
 def test_entry(spark):

@@ -108,17 +108,16 @@ def test_constant_rows(spark):
 
 
 def test_training_log_lines(spark):
-    head = "2018-06-25 21:08:27,516 INFO (MainThread-20224) "
+    head = "2024-02-03 04:05:06,789 INFO (MainThread-7) "
     lines = spark.createDataFrame([
-        (head + "loss = 65.8497, step = 1641531 (12.828 sec)",),
-        (head + "Loss for final step: 37.241173.",),
-        (head + "Saving dict for global step 2007583: accuracy = 0.9842578, auc_precision_recall = 0.055994354,"
-         " global_step = 2007583, label/mean = 0.015742188, loss = 7.2e+01",),
+        (head + "loss = 12.5, step = 4000 (3.25 sec)",),
+        (head + "Loss for final step: 11.75.",),
+        (head + "Saving dict for global step 9000: accuracy = 0.75, auc_precision_recall = 0.0625,"
+         " global_step = 9000, label/mean = 0.125, loss = 7.2e+01",),
     ], "value string")
-    assert rows(trainlog.progress(lines)) == [(65.8497, 1641531, 12.828)]
+    assert rows(trainlog.progress(lines)) == [(12.5, 4000, 3.25)]
     assert rows(trainlog.evaluations(lines), "global_step", "name", "value") == [
-        (2007583, "accuracy", 0.9842578), (2007583, "auc_precision_recall", 0.055994354),
-        (2007583, "label/mean", 0.015742188), (2007583, "loss", 72.0)]
+        (9000, "accuracy", 0.75), (9000, "auc_precision_recall", 0.0625), (9000, "label/mean", 0.125), (9000, "loss", 72.0)]
 
 
 def test_scratch_is_the_shared_folder(spark):

@@ -317,7 +317,7 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training log lines from events: progress, evaluation and other lines."""
-    head = "date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ',516 INFO (MainThread-20224) '"
+    head = "date_format(ts, 'yyyy-MM-dd HH:mm:ss'), ',123 INFO (MainThread-7) '"
     return table(spark, sf_dir, "events").selectExpr(
         "event_id",
         "case event_type"
