@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,35 +58,32 @@ def skew_join(
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how!r}")
     on = [on] if isinstance(on, str) else list(on)
-    spread = F.xxhash64(*[F.col(c) for c in (salt_by or _hashable(left))])
-    null_key = any_null(*on)
+    if hot is None and how == "inner":
+        return left.join(right, on, "inner")
 
+    spread = f"xxhash64({_listed(salt_by or _hashable(left))})"
+    null_key = " or ".join(f"`{c}` is null" for c in on)
     if hot is None:
-        if how == "inner":
-            return left.join(right, on, "inner")
-        salted = left.withColumn(
-            _SALT, F.when(null_key, _never_null(F.pmod(spread, F.lit(NULL_SPREAD)))).otherwise(0)
+        salt = f"if({null_key}, pmod({spread}, {NULL_SPREAD}), 0)"
+        salted, repeated = left, right.withColumn(_SALT, F.lit(0))
+    else:
+        # coalesced, as a salt that might be NULL would make Spark filter on it and hash every row twice
+        salt = f"pmod({spread}, if({null_key}, {NULL_SPREAD}, coalesce({_PIECES}, 1)))"
+        hot_on = [c for c in hot.columns if c != _PIECES]
+        salted = left.join(F.broadcast(hot), hot_on, "left")
+        repeated = right.join(F.broadcast(hot), hot_on, "left").selectExpr(
+            *_quoted(right.columns), f"explode(sequence(0, coalesce({_PIECES}, 1) - 1)) as {_SALT}"
         )
-        return salted.join(right.withColumn(_SALT, F.lit(0)), [*on, _SALT], how).drop(_SALT)
-
-    hot_on = [c for c in hot.columns if c != _PIECES]
-    pieces = F.coalesce(F.col(_PIECES), F.lit(1))
-    salted = (
-        left.join(F.broadcast(hot), hot_on, "left")
-        .withColumn(_SALT, _never_null(F.pmod(spread, F.when(null_key, F.lit(NULL_SPREAD)).otherwise(pieces))))
-        .drop(_PIECES)
-    )
-    repeated = (
-        right.join(F.broadcast(hot), hot_on, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), pieces - 1)))
-        .drop(_PIECES)
-    )
+    salted = salted.selectExpr(*_quoted(left.columns), f"coalesce(cast({salt} as int), 0) as {_SALT}")
     return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
 
 
-def _never_null(salt: Column) -> Column:
-    """Tells Spark so, which spares a filter that would hash every row again."""
-    return F.coalesce(salt.cast("int"), F.lit(0))
+def _quoted(columns: Sequence[str]) -> list[str]:
+    return [f"`{c}`" for c in columns]
+
+
+def _listed(columns: Sequence[str]) -> str:
+    return ", ".join(_quoted(columns))
 
 
 def _hashable(rows: DataFrame) -> list[str]:
