@@ -161,11 +161,9 @@ def add_bucket_cross_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) ->
 
 def add_wide_positions(rows: DataFrame, spec: EncoderSpec = EncoderSpec(), name: str = "wide") -> DataFrame:
     """Array of the positions that are 1 in the wide vector, ascending: offset plus id of each column."""
-    ids = ", ".join([*spec.hash_ids().values(), *spec.cross_ids().values()])
-    offsets = ", ".join(f"{o}L" for o in spec.offsets())
-    return _layered(
-        rows, spec.hashes(), {name: f"zip_with(array({ids}), array({offsets}), (id, start) -> start + id)"}
-    )
+    ids = [*spec.hash_ids().values(), *spec.cross_ids().values()]
+    positions = [f"{start}L + {sql}" for start, sql in zip(spec.offsets(), ids, strict=True)]
+    return _layered(rows, spec.hashes(), {name: f"array({', '.join(positions)})"})
 
 
 def encode_statement(spec: EncoderSpec, crosses: bool) -> str:
