@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +12,9 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder the session names.
 
-    Only a local session without that setting gets a temporary folder of its
-    own: on a cluster no other machine could read it.
+    A session without that setting stages under its warehouse, which is shared as well.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="clickloom-")
+    base = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -30,3 +24,12 @@ def stage(rows: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     rows.write.parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+def drop_staged(rows: DataFrame) -> None:
+    """Remove the folder of a staged frame; later reads of it fail."""
+    spark = rows.sparkSession
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    for folder in {f.rsplit("/", 1)[0] for f in rows.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
