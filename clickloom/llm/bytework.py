@@ -119,10 +119,8 @@ class Words:
         self.first = np.searchsorted(self.starts, self.offsets)
         self.hashes = span_hashes(self.data, self.starts, self.ends)
 
-    def texts(self, start: int, end: int) -> bytes:
-        """Words start to end, joined by a space each."""
-        data, s, e = self.data, self.starts, self.ends
-        return b" ".join(data[s[i]:e[i]].tobytes() for i in range(start, end))
+    def text(self, i: int) -> str:
+        return self.data[self.starts[i]:self.ends[i]].tobytes().decode()
 
 
 def grams(hashes: np.ndarray, k: int) -> np.ndarray:
