@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, decontaminate, line_dedup
+from clickloom.llm import chat_format, decontaminate, exact_top_k, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,25 @@ def op7_chat_format(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], turns.schema)
     return chat_format.conversation_digests(chat_format.format_conversations(turns.unionByName(planted)))
+
+
+@query
+def op2_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
+    return exact_top_k.exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+ORACLE["op2_exact_top_k"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5
+"""
