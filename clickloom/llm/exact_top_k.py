@@ -109,9 +109,9 @@ def exact_top_k(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "ve
     groups = max(1, -(-rows.filter(is_query).count() // group_rows))
     spread = F.xxhash64("id", "v")
     size = F.size("v").alias("size")
-    left = vectors.select("id", "v", size, F.pmod(spread, F.lit(blocks)).alias("block"),
+    left = vectors.select("id", "v", size, F.pmod(spread, F.lit(blocks)).cast("int").alias("block"),
                           F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    right = queries.select("id", "v", size, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+    right = queries.select("id", "v", size, F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
                            F.pmod(spread, F.lit(groups)).cast("int").alias("group"))
     cell = ["size", "block", "group"]
     best = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(_cell(k), "query_id long, vec_id long, score long")
