@@ -150,7 +150,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lea
     Names of added columns get a leading underscore where the table has them already.
     """
     runs = runs or runs_of(docs, doc_id, text, least_chars)
-    mine, again = line_keys(docs, doc_id, text, least_chars), runs.repeated(least_docs)
+    # staged, the join reads two plain shuffles, so Spark can split a line that many documents hold
+    mine, again = line_keys(docs, doc_id, text, least_chars), stage(runs.repeated(least_docs), "repeated-lines")
     lost = (mine.join(again, ["h1", "h2"])
             .filter(F.col("doc").isNull() & F.col("last_doc").isNotNull() | (F.col("doc") < F.col("last_doc")))
             .groupBy("doc").agg(F.collect_set("h1").alias("h1"), F.collect_set("h2").alias("h2")))

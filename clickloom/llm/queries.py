@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import chat_format, decontaminate, exact_top_k, line_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,8 @@ WITH v AS (
 )
 SELECT * FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op4_best_fit(spark: SparkSession, sf: str) -> DataFrame:
+    return best_fit.pack(table(spark, sf, "documents"))
