@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, line_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, language_id, line_dedup
+from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -122,3 +123,12 @@ SELECT * FROM ranked WHERE rank <= 5
 @query
 def op4_best_fit(spark: SparkSession, sf: str) -> DataFrame:
     return best_fit.pack(table(spark, sf, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = in_fold("doc_id", 4, 2)
+    model = language_id.train(language_id.training_sample(docs, ~held_out, "text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
