@@ -21,6 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom.llm.bytework import slices, text_buffer
 from clickloom.llm.frames import fresh
@@ -87,24 +88,26 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pre
              score: str = "score") -> DataFrame:
     """All rows and columns, with the predicted language and its score added."""
     lang_pred, score = fresh(docs.columns, lang_pred), fresh(docs.columns, score)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema.add(lang_pred, "string").add(score, "double")
+    shared = docs.sparkSession.sparkContext.broadcast([trie.levels for trie in model.tries])  # plain arrays
+    languages, order = model.languages, model.order
+    schema = T.StructType([*docs.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        tries = [ContextTrie(levels) for levels in shared.value]
         known = np.zeros(0, dtype=np.int64)  # grams met so far, and their code lengths by language
-        lengths = np.zeros((len(model.languages), 0))
+        lengths = np.zeros((len(tries), 0))
         for part in slices(batches, text, SCORE_BYTES):
             column = part.column(text)
-            if model.languages:
-                grams, first = text_grams(column, model.order)
+            names, scores = [UNKNOWN] * part.num_rows, np.zeros(part.num_rows)
+            if tries:
+                grams, first = text_grams(column, order)
                 codes, keys = pd.factorize(grams)
                 del grams
                 if len(known) > KNOWN_GRAMS:
                     known, lengths = known[:0], lengths[:, :0]
                 new = np.setdiff1d(keys, known, assume_unique=True)
                 if len(new):
-                    more = np.stack([t.log2_prob(new) for t in model.tries])
+                    more = np.stack([t.log2_prob(new) for t in tries])
                     known, lengths = np.concatenate([known, new]), np.concatenate([lengths, more], axis=1)
                     by = np.argsort(known)
                     known, lengths = known[by], lengths[:, by]
@@ -112,10 +115,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", lang_pre
                 total = np.stack([np.add.reduceat(row[at][codes], first) for row in lengths])
                 best = total.argmax(axis=0)
                 shares = 1 / np.exp2(np.maximum(total - total.max(axis=0), -1000)).sum(axis=0)
-            letters = has_letter(column) & column.is_valid().to_numpy(zero_copy_only=False) & bool(model.languages)
-            names = [model.languages[b] if ok else UNKNOWN for b, ok in zip(
-                best if model.languages else [0] * part.num_rows, letters, strict=True)]
-            scores = np.where(letters, shares, 0.0) if model.languages else np.zeros(part.num_rows)
+                read = has_letter(column) & column.is_valid().to_numpy(zero_copy_only=False)
+                names = [languages[b] if ok else UNKNOWN for b, ok in zip(best.tolist(), read.tolist(), strict=True)]
+                scores = np.where(read, shares, 0.0)
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*part.schema.names, lang_pred, score])
 
