@@ -8,7 +8,7 @@ are joined, and each seed is extended word by word, left and right, as far as a
 through it can reach; 10 or more equal words in a row are a hit. Items of fewer words
 are one window: all their words are the gram, and every gram of that length is kept.
 
-What is broadcast is a bitmap of 2^24 bits of the items' fingerprints, 2 MB at any size of
+What is broadcast is a bitmap of 2^27 bits of the items' fingerprints, 16 MB at any size of
 either table; it only thins what is shuffled, the join decides. Seeds carry
 the words around them, so the documents themselves are not shuffled before the join. Items with the
 same words are joined once.
@@ -29,12 +29,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.bytework import U64, Words, grams, slices, window_min
+from clickloom.llm.filters import bitmap_of, in_bitmap
 from clickloom.llm.frames import fresh, stage
 
 WINDOW = 10
 GRAM = 5
-#: Bits of the filter that thins the documents' fingerprints.
-FILTER_BITS = 24
 
 _SEED = "size int, print long, before array<string>, after array<string>"
 
@@ -99,25 +98,6 @@ _DOC_ARROW = pa.schema([("doc", pa.int64()), ("content", pa.int64()), ("pos", pa
                         *_SEED_ARROW])
 
 
-def filter_bitmap(prints: Column, seeds: DataFrame) -> np.ndarray:
-    """2^24 bits of the fingerprints, whatever their number; 512 rows of 4 KB come to the driver at most."""
-    low = F.pmod(prints, F.lit(1 << FILTER_BITS))
-    found = seeds.select(F.bitmap_bucket_number(low).alias("b"), F.bitmap_bit_position(low).alias("p")).groupBy(
-        "b").agg(F.bitmap_construct_agg("p").alias("bits")).collect()
-    bits = np.zeros(((1 << FILTER_BITS) // 32768 + 2, 4096), dtype=np.uint8)
-    for r in found:
-        bits[r["b"]] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
-    return bits
-
-
-def _maybe(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Whether the filter has each hash; Spark's buckets count from 1 and hold 32768 bits, lowest first."""
-    low = (h & U64((1 << FILTER_BITS) - 1)).astype(np.int64)
-    bucket = np.where(low == 0, 0, 1 + (low - 1) // 32768)
-    bit = np.where(low == 0, 0, (low - 1) % 32768)
-    return (bitmap[bucket, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 > 0
-
-
 def document_seeds(docs: DataFrame, doc_id: str, text: str, window: int, gram: int, bitmap: np.ndarray,
                    short: list[int]) -> DataFrame:
     """A row with the word count of each document (no position), and one for each seed that the filter lets through."""
@@ -137,7 +117,7 @@ def document_seeds(docs: DataFrame, doc_id: str, text: str, window: int, gram: i
                     at = _winnow(h, words.first, counts, window, gram)
                 else:  # all grams of a short item's length that lie in one row
                     at = np.flatnonzero(words.first[row_of[:len(h)] + 1] - np.arange(len(h)) >= size)
-                at = at[_maybe(bits, h[at])]
+                at = at[in_bitmap(bits, h[at])]
                 prints = h.view(np.int64)
                 for p in at.tolist():
                     r = int(row_of[p])
@@ -168,7 +148,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     the ids, as text, of the items with a window among them, sorted. ``content`` is xxhash64 of the text.
     """
     items = stage(item_seeds(benchmark, item_id, item_text, window, gram), "item-seeds")
-    bitmap = filter_bitmap(F.col("print"), items)
+    bitmap = bitmap_of(items, F.col("print"))
     # only items shorter than a window have nothing around their gram: window - 1 lengths at most
     short = sorted(r[0] for r in items.filter("size(before) = 0 and size(after) = size").select("size").distinct().collect())
     found = stage(document_seeds(docs, doc_id, text, window, gram, bitmap, short), "document-seeds")

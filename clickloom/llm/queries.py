@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, language_id, line_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, language_id, line_dedup, near_dedup
 from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -132,3 +132,8 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = language_id.train(language_id.training_sample(docs, ~held_out, "text", "lang"))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf, "documents")).select(F.col("doc").alias("doc_id"), "class_id")
