@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, language_id, line_dedup, near_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, near_dedup
 from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,3 +137,9 @@ def op6_language_id(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf, "documents")).select(F.col("doc").alias("doc_id"), "class_id")
+
+
+@query
+def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    pages = html_text.extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
