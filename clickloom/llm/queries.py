@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, near_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, near_dedup, substring_dedup
 from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,3 +143,10 @@ def op9_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def op8_html_text(spark: SparkSession, sf: str) -> DataFrame:
     pages = html_text.extract_text(table(spark, sf, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    found = substring_dedup.dedup_substrings(table(spark, sf, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
