@@ -111,3 +111,44 @@ class ContextTrie:
             open_ = open_[stay]
         out[open_] -= np.log2(np.maximum(ALPHABET - gone_d, 1))
         return out
+
+
+class GrowingTrie:
+    """The same model one symbol at a time: for adaptive coding, where each text's own past is all that is known."""
+
+    def __init__(self, order: int):
+        self.order = order
+        self.seen: list[dict[bytes | tuple, dict[int, int]]] = [{} for _ in range(order + 1)]
+
+    @staticmethod
+    def symbols(text: str) -> list[int]:
+        return [b + 32 if 65 <= b <= 90 else b for b in text.encode()] + [END]
+
+    def log2_prob(self, context: tuple[int, ...], symbol: int) -> float:
+        """``context``: the ``order`` symbols before, the last one at the end."""
+        out, gone = 0.0, set()
+        for order in range(self.order, -1, -1):
+            found = self.seen[order].get(context[self.order - order:], {})
+            left = {s: n for s, n in found.items() if s not in gone}
+            if not left:
+                continue
+            total = sum(left.values()) + len(left)
+            if symbol in left:
+                return out + float(np.log2(left[symbol] / total))
+            out += float(np.log2(len(left) / total))
+            gone |= left.keys()
+        return out - float(np.log2(max(ALPHABET - len(gone), 1)))
+
+    def learn(self, context: tuple[int, ...], symbol: int) -> None:
+        for order in range(self.order + 1):
+            counts = self.seen[order].setdefault(context[self.order - order:], {})
+            counts[symbol] = counts.get(symbol, 0) + 1
+
+    def text_log2_prob(self, text: str, learn: bool) -> float:
+        context, out = (START,) * self.order, 0.0
+        for s in self.symbols(text):
+            out += self.log2_prob(context, s)
+            if learn:
+                self.learn(context, s)
+            context = (*context[1:], s) if self.order else ()
+        return out

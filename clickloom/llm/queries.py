@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, near_dedup, substring_dedup
+from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, lm_score, near_dedup, substring_dedup
 from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,10 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = substring_dedup.dedup_substrings(table(spark, sf, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("starts").cast("long").alias("n_spans"),
                         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op3_lm_score(spark: SparkSession, sf: str) -> DataFrame:
+    scored = lm_score.score_texts(table(spark, sf, "documents"), ~in_fold("doc_id", 10, 0))
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+                         "score")
