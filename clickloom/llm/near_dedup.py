@@ -10,11 +10,11 @@ component of links.
 3. In each bucket every content is paired with one member, the one that shares the most buckets
    with others, so a bucket of n gives n pairs and mostly the same ones in all bands. Pairs are verified
    exactly and linked contents united.
-4. What 3. leaves apart is compared within its buckets by signature, in blocks of bounded size; pairs of different
+4. What 3. leaves apart is compared within its buckets, in blocks of bounded size, by signature; pairs of different
    components whose coordinates agree closely enough (``least_agreement``: 0.65 of 80, which a pair at 0.8 misses
-   with a probability of about 0.002) are verified exactly too, each in its first common band only.
+   with a probability of about 0.002) are verified exactly too. Only links that unite components are written out.
 
-So no pair is left out because its bucket is large, and pairs within one component are never written out. The shingles needed for verification are computed by a second pass
+So no pair is left out because its bucket is large, and all pairs of a bucket are never written out. The shingles needed for verification are computed by a second pass
 over the texts; a bitmap of fixed size of the contents in question thins it.
 
 Edge cases: null, empty and word-less texts are in no content and a class of their own; rows that repeat a doc_id
@@ -108,37 +108,55 @@ def verified(pairs: DataFrame, cells: DataFrame, similarity: float) -> DataFrame
     return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b")
 
 
-def _agreeing(members: DataFrame, least: float, block: int) -> DataFrame:
-    """(a, b): pairs of a bucket in different components whose coordinates agree in at least this part, once each.
+def links_apart(members: DataFrame, similarity: float, least: float, block: int) -> DataFrame:
+    """(a, b): verified links between members of a bucket that lie in different components, as many as unite them.
 
-    ``members``: bucket, size, content, root, bands, coords. A bucket beyond ``block`` members is compared block
-    by block, so a task holds two blocks at most.
+    ``members``: bucket, size, content, root, bands, coords, cells. Pairs are screened by their coordinates, each in its first
+    common band only; those that agree in the part ``least`` are verified, the most alike first, unless
+    links found before have united them. A bucket beyond ``block`` members is compared block by block, so a task
+    holds two blocks at most. Pairs stay inside the task; links alone come out.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("content"), blocks).cast("int")
     dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "content", "root",
-        "bands", "coords")
+        "bands", "coords", "cells")
 
     def compare(rows: list[pa.Table], out: list) -> None:
         group = pa.concat_tables(rows)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         content, root, own = (group.column(c).to_numpy() for c in ("content", "root", "own"))
+        if len(content) < 2:
+            return
         coords = np.frombuffer(b"".join(group.column("coords").to_pylist()), dtype=np.uint16).reshape(len(content), -1)
         keys = np.stack(group.column("bands").to_numpy())
+        cells = group.column("cells").combine_chunks()
         band = int(np.flatnonzero(keys[0] == group.column("bucket")[0].as_py())[0])
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        side = np.flatnonzero(own == j)
         need = least * coords.shape[1]
-        for p in left.tolist():
-            mates = right[(content[right] > content[p]) & (root[right] != root[p])] if i == j else right[root[right] != root[p]]
+        _, part = np.unique(root, return_inverse=True)  # components, as links unite them
+        bags: dict[int, np.ndarray] = {}
+
+        def bag(p: int) -> np.ndarray:
+            if p not in bags:
+                bags[p] = np.sort(cells[p].values.to_numpy())
+            return bags[p]
+
+        for p in np.flatnonzero(own == i).tolist():
+            mates = side[part[side] != part[p]]
+            if i == j:
+                mates = mates[content[mates] > content[p]]
             if not len(mates):
                 continue
-            mates = mates[(coords[mates] == coords[p]).sum(axis=1) >= need]
+            agree = (coords[mates] == coords[p]).sum(axis=1)
+            mates, agree = mates[agree >= need], agree[agree >= need]
             if band and len(mates):
-                mates = mates[~(keys[mates, :band] == keys[p, :band]).any(axis=1)]
-            if len(mates):
-                a, b = np.minimum(content[p], content[mates]), np.maximum(content[p], content[mates])
-                out.append((a, b))
+                first = ~(keys[mates, :band] == keys[p, :band]).any(axis=1)
+                mates, agree = mates[first], agree[first]
+            for q in mates[np.argsort(-agree, kind="stable")].tolist():
+                if part[q] != part[p] and _alike(bag(p), bag(q), similarity):
+                    out.append((min(content[p], content[q]), max(content[p], content[q])))
+                    part[part == part[q]] = part[p]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -166,9 +184,18 @@ def _agreeing(members: DataFrame, least: float, block: int) -> DataFrame:
     return dealt.mapInArrow(work, "a long, b long")
 
 
+def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
+    """Whether two sorted bags are similar enough."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) < similarity * len(b) - 1:
+        return False
+    both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
+    return both / (len(a) + len(b) - both) >= similarity
+
+
 def _pairs(out: list) -> pa.RecordBatch:
-    none = np.zeros(0, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *(o[n] for o in out)])) for n in (0, 1)], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(np.array([o[n] for o in out], dtype=np.int64)) for n in (0, 1)], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
@@ -198,10 +225,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rooted = members.join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(
         "root", F.coalesce("root", "content"))
     split = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-    apart = rooted.join(stage(split, "split-buckets"), "bucket").join(unique.select("content", "bands", "coords"), "content")
-    rest = stage(_agreeing(apart, least_agreement, block), "rest-pairs").join(star, ["a", "b"], "left_anti").join(
-        star.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-    more = stage(verified(rest, cells, similarity), "more-links")
+    apart = rooted.join(stage(split, "split-buckets"), "bucket").join(
+        unique.select("content", "bands", "coords"), "content").join(cells, "content")
+    more = stage(links_apart(apart, similarity, least_agreement, block), "more-links")
     roots = components(links.unionByName(more))
 
     named = unique.select("content", "least").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(
