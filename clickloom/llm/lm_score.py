@@ -4,10 +4,10 @@ The model is learnt from all training documents, grows with them and is never ga
 
 1. Texts are staged in compressed blocks of bounded size. Each block counts its distinct tokens and grams (a byte with the
    ``order`` bytes before it): its dictionary, a few per cent of its text.
-2. Dictionaries are dealt by key and summed over blocks. What a gram's symbol costs depends on its contexts alone:
+2. Dictionaries are dealt by key and summed over blocks. What a gram costs depends on its contexts alone:
    distinct grams are grouped by their last two context bytes, where all higher orders lie
    together; orders 0 and 1 have 258 x 257 entries at most and are broadcast. Escapes and exclusions are counted in whole arrays.
-3. The sums and log probabilities return to the blocks' dictionaries, and each block scores its texts.
+3. The sums and log probabilities return to the blocks in the order of their keys, and each block scores its texts.
 
 Texts are lower-cased (A-Z). Tokens are runs of bytes other than white space, then one end. ``adaptive`` codes each text
 by its own past instead, without any training.
@@ -31,9 +31,9 @@ from clickloom.llm.bytework import U64, lower_ascii, mix, runs, slices, span_has
 from clickloom.llm.frames import stage
 from clickloom.llm.ppm import ContextTrie, GrowingTrie, counted, levels_of, low, text_grams
 
-ORDER = 4
+ORDER = 5
 #: Bytes of text in a block, and worked on at once.
-BLOCK_BYTES, SLICE_BYTES = 16 << 20, 2 << 20
+BLOCK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
 TOKEN, GRAM = 0, 1
 #: The key of the end of a text among the tokens' hashes.
 END_KEY = 0x5DEECE66D
@@ -147,72 +147,85 @@ def _summed(table: pa.Table) -> pa.Table:
     return pa.table({"key": keys, "n": counts})
 
 
-def _token_sums(table: pa.Table) -> pa.Table:
-    _, counts = counted(*_flat(table, "keys", "counts")[:2])
-    return pa.table({"tokens": np.array([counts.sum()]), "kinds": np.array([(counts > 0).sum()])})
-
-
 def gram_costs(dictionary: DataFrame, order: int, parts: int) -> DataFrame:
     """(key, cost): log10 probability of every gram that any text holds, from the training counts."""
     totals = stage(dictionary.filter(F.col("kind") == GRAM).groupBy("part").applyInArrow(_summed, _TOTALS), "gram-totals")
-    small = totals.filter("n > 0").groupBy(F.col("key").bitwiseAND(F.lit(low(min(1, order)))).alias("key")).agg(
-        F.sum("n").alias("n")).toPandas()  # 258 x 257 rows at most
-    base = levels_of(small["key"].to_numpy(np.int64), small["n"].to_numpy(np.int64), min(1, order))
+    key = F.col("key")
+    # orders 0 and 1: 258 x 257 rows at most
+    small = totals.filter("n > 0").select(key.bitwiseAND(F.lit(low(2))).alias("key")).distinct().groupBy(
+        key.bitwiseAND(F.lit(low(1))).alias("key")).agg(F.count(F.lit(1)).alias("n")).toPandas()
+    base = levels_of(small["key"].to_numpy(np.int64), small["n"].to_numpy(np.int64), 1)
 
     def work(table: pa.Table) -> pa.Table:
         keys, counts = table.column("key").to_numpy(), table.column("n").to_numpy()
-        trie = ContextTrie([*base, *(levels_of(keys, counts, order, 2) if order > 1 else [])])
+        trie = ContextTrie([*base, *levels_of(keys, counts, order, 2)])
         return pa.table({"key": keys, "cost": trie.log2_prob(keys) * np.log10(2.0)})
 
-    context = F.shiftright("key", 9).bitwiseAND(F.lit(low(1)))
+    context = F.shiftright(key, 9).bitwiseAND(F.lit(low(1)))
     return totals.withColumn("near", F.pmod(F.xxhash64(context), F.lit(parts))).groupBy("near").applyInArrow(
         work, "key long, cost double")
 
 
-_VALUES = "block long, kind int, keys array<long>, values array<double>"
+_VALUES = "block long, kind int, part long, counts array<long>, costs array<float>, tokens long, kinds long"
+_VALUES_ARROW = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("part", pa.int64()), ("counts", _LONGS),
+                           ("costs", pa.list_(pa.float32())), ("tokens", pa.int64()), ("kinds", pa.int64())])
 
 
-def _per_block(table: pa.Table, keys: np.ndarray, values: np.ndarray, row: np.ndarray, kind: int) -> pa.Table:
-    offsets = pa.array(np.searchsorted(row, np.arange(table.num_rows + 1)), pa.int32())
-    return pa.table({"block": table.column("block"), "kind": np.full(table.num_rows, kind, np.int32),
-                     "keys": pa.ListArray.from_arrays(offsets, pa.array(keys)),
-                     "values": pa.ListArray.from_arrays(offsets, pa.array(values.astype(float)))})
+def _per_block(table: pa.Table, row: np.ndarray, kind: int, counts: np.ndarray | None = None, costs: np.ndarray | None = None,
+               tokens: int = 0, kinds: int = 0) -> pa.Table:
+    """The values of each block's keys, in the order the block has them; the part's own sums stand in its first row."""
+    n = table.num_rows
+    offsets = pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32())
+    first = np.arange(n) == 0
+    none = pa.nulls(n, _LONGS) if counts is None else pa.nulls(n, pa.list_(pa.float32()))
+    lists = pa.ListArray.from_arrays(offsets, pa.array(counts if counts is not None else costs.astype(np.float32)))
+    return pa.table({"block": table.column("block"), "kind": np.full(n, kind, np.int32), "part": table.column("part"),
+                     "counts": none if counts is None else lists, "costs": lists if counts is None else none,
+                     "tokens": first * tokens, "kinds": first * kinds}, schema=_VALUES_ARROW)
 
 
 def _token_values(table: pa.Table) -> pa.Table:
     keys, counts, row = _flat(table, "keys", "counts")
     own, total = counted(keys, counts)
-    return _per_block(table, keys, total[np.searchsorted(own, keys)], row, TOKEN)
+    return _per_block(table, row, TOKEN, counts=total[np.searchsorted(own, keys)], tokens=int(total.sum()),
+                      kinds=int((total > 0).sum()))
 
 
 def _gram_values(table: pa.Table, costs: pa.Table) -> pa.Table:
     keys, _, row = _flat(table, "keys", "counts")
     own, cost = costs.column("key").to_numpy(), costs.column("cost").to_numpy()
     by = np.argsort(own)
-    return _per_block(table, keys, cost[by][np.searchsorted(own[by], keys)] if len(keys) else keys, row, GRAM)
-
-
-_SCORED = ("doc_id long, training boolean, n_tokens long, n_known long, log10_counts double, score double")
+    return _per_block(table, row, GRAM, costs=cost[by][np.searchsorted(own[by], keys)])
 
 
-def _scorer(order: int):
+def _scorer(order: int, parts: int):
     def work(blocks: pa.Table, values: pa.Table) -> pa.Table:
+        given: dict[tuple, np.ndarray] = {}
+        for kind, part, *lists in zip(*(values.column(c) for c in ("kind", "part", "counts", "costs")), strict=True):
+            given[kind.as_py(), part.as_py()] = lists[kind.as_py()].values.to_numpy()
+        if not blocks.num_rows:
+            return _SCORED_ARROW.empty_table()
+        row = blocks.slice(0, 1).to_pylist()[0]
+        found: dict[int, list] = {TOKEN: [], GRAM: []}
+        for part, _ in _unpacked(row):
+            found[TOKEN].append(pd.unique(text_tokens(part.column("text"))[0]))
+            found[GRAM].append(pd.unique(text_grams(part.column("text"), order)[0]))
         known = {}
-        for kind in (TOKEN, GRAM):
-            keys, value, _ = _flat(values.filter(pa.array(values.column("kind").to_numpy() == kind)), "keys", "values")
+        for kind in found:
+            keys = np.sort(pd.unique(np.concatenate(found[kind])))
+            keys = keys[np.argsort(_shares(keys, parts), kind="stable")]
+            value = np.concatenate([given[k] for k in sorted(given) if k[0] == kind])
+            if len(keys) != len(value):
+                raise RuntimeError("a block's dictionary is not whole")
             by = np.argsort(keys)
             known[kind] = keys[by], value[by]
 
         def looked_up(kind: int, keys: np.ndarray) -> np.ndarray:
             codes, own = pd.factorize(keys)
-            have, value = known[kind]
-            at = np.minimum(np.searchsorted(have, own), len(have) - 1)
-            if not len(have) or not (have[at] == own).all():
-                raise RuntimeError("a block's dictionary lacks one of its keys")
-            return value[at][codes]
+            return known[kind][1][np.searchsorted(known[kind][0], own)][codes]
 
         out = []
-        for i in range(blocks.num_rows):
+        for i in range(blocks.num_rows):  # more than one only if whole blocks are repeated
             for part, training in _unpacked(blocks.slice(i, 1).to_pylist()[0]):
                 tokens, first = text_tokens(part.column("text"))
                 count = looked_up(TOKEN, tokens)
@@ -221,7 +234,7 @@ def _scorer(order: int):
                     "doc_id": part.column("doc"), "training": training, "n_tokens": np.diff(np.append(first, len(tokens))),
                     "n_known": np.add.reduceat((count > 0).astype(np.int64), first),
                     "log10_counts": np.add.reduceat(np.log10(count + 0.1), first),
-                    "score": np.add.reduceat(looked_up(GRAM, grams), first_gram)}, schema=_SCORED_ARROW))
+                    "score": np.add.reduceat(looked_up(GRAM, grams).astype(float), first_gram)}, schema=_SCORED_ARROW))
         return pa.concat_tables(out) if out else _SCORED_ARROW.empty_table()
 
     return work
@@ -235,20 +248,18 @@ _SCORED_ARROW = pa.schema([("doc_id", pa.int64()), ("training", pa.bool_()), ("n
 def score_texts(docs: DataFrame, is_training: Column, doc_id: str = "doc_id", text: str = "text", order: int = ORDER,
                 block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, training, n_tokens, n_known, train_tokens, base_score, score) of every row."""
-    if not 1 <= order <= 5:
-        raise ValueError("the order is 1 to 5: a gram must fit a 64 bit number")
+    if not 2 <= order <= 5:
+        raise ValueError("the order is 2 to 5")
     blocks = stage(text_blocks(docs, doc_id, text, is_training, block_bytes), "text-blocks")
     parts = max(1, blocks.count())
     dictionary = stage(dictionaries(blocks, order, parts), "dictionaries")
     tokens, grams = (dictionary.filter(F.col("kind") == k) for k in (TOKEN, GRAM))
-    sums = tokens.groupBy("part").applyInArrow(_token_sums, "tokens long, kinds long").agg(
-        F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
-    costs = stage(gram_costs(dictionary, order, parts), "gram-costs")
-    share = _part_of("key", parts)
-    values = tokens.groupBy("part").applyInArrow(_token_values, _VALUES).unionByName(
-        grams.groupBy("part").cogroup(costs.withColumn("part", share).groupBy("part")).applyInArrow(_gram_values, _VALUES))
-    scored = blocks.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(_scorer(order), _SCORED)
-    n, v = sums
+    costs = stage(gram_costs(dictionary, order, parts), "gram-costs").withColumn("part", _part_of("key", parts))
+    values = stage(tokens.groupBy("part").applyInArrow(_token_values, _VALUES).unionByName(
+        grams.groupBy("part").cogroup(costs.groupBy("part")).applyInArrow(_gram_values, _VALUES)), "dictionary-values")
+    n, v = values.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
+    scored = blocks.groupBy("block").cogroup(values.drop("tokens", "kinds").groupBy("block")).applyInArrow(
+        _scorer(order, parts), _SCORED)
     base = F.col("log10_counts") - F.col("n_tokens") * float(np.log10(n + 0.1 * (v + 1)))
     return scored.select("doc_id", "training", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                          base.alias("base_score"), "score")

@@ -2,11 +2,12 @@
 
 A text is its bytes and one END symbol, after ``order`` START symbols. A gram is a symbol with the ``order`` symbols before
 it, nine bits each, the oldest on top, so the low bits of a gram are the grams of lower orders. A trie holds, for each
-order, the counts of (context, symbol) over all training text. A symbol is coded at the longest
-context seen in training; where that context has not seen it, the escape is coded and the search goes on one
-symbol shorter, without the symbols the longer context has already ruled out. With n
-occurrences of d different symbols left in a context, a symbol of count c has c / (n + d) and the escape
-d / (n + d). Below order 0 all symbols not ruled out are equally likely.
+order, counts of (context, symbol): at the top order how often the pair came in training text, below it how many different
+contexts one symbol longer it came in (a symbol is counted at lower orders only where the longer context had not seen it).
+A symbol is coded at the longest context seen in training; where that context has not seen it, the escape
+is coded and the search goes on one symbol shorter, without the symbols the longer context has already ruled out.
+With n the sum of the counts of the d symbols left in a context, a symbol of count c has (c - DISCOUNT) / n and the escape
+DISCOUNT * d / n. Below order 0 all symbols not ruled out are equally likely.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ END, START = 256, 257
 BITS = 9
 #: Bytes and END; START is never coded.
 ALPHABET = 257
+#: What every symbol of a context gives up for the escape.
+DISCOUNT = 0.3
 
 
 def low(order: int) -> int:
@@ -60,7 +63,12 @@ def counted(grams: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nd
 
 def levels_of(grams: np.ndarray, counts: np.ndarray, order: int, least: int = 0) -> list[tuple[np.ndarray, np.ndarray]]:
     """(keys, counts) for the orders ``least`` to ``order`` from the top grams."""
-    return [counted(grams & low(k), counts) for k in range(least, order + 1)]
+    keys, counts = counted(grams, counts)
+    levels = [(keys[counts > 0], counts[counts > 0])]
+    for k in range(order - 1, least - 1, -1):
+        longer = levels[0][0]
+        levels.insert(0, counted(longer & low(k), np.ones(len(longer), dtype=np.int64)))
+    return levels
 
 
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -75,7 +83,7 @@ class ContextTrie:
     """Frozen statistics: for each order the counted grams, and for each context its totals."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        self.levels = [(k[c > 0], c[c > 0]) for k, c in levels]
+        self.levels = levels
         self.contexts, self.total, self.kinds, self.ruled_out = [], [], [], []
         for order, (keys, counts) in enumerate(self.levels):
             context = keys >> BITS
@@ -101,10 +109,9 @@ class ContextTrie:
             d = kinds - gone_d
             count = _find(*self.levels[order], gram)
             coded = count > 0
-            left = n + d
-            some = left > 0
             with np.errstate(divide="ignore"):
-                out[open_] += np.where(some, np.log2(np.where(coded, count, d).astype(float)) - np.log2(np.maximum(left, 1)), 0.0)
+                share = np.log2(np.where(coded, count - DISCOUNT, DISCOUNT * d)) - np.log2(np.maximum(n, 1))
+            out[open_] += np.where(n > 0, share, 0.0)
             stay = ~coded
             gone_n = _find(self.contexts[order], self.ruled_out[order], context)[stay]
             gone_d = kinds[stay]
@@ -132,17 +139,19 @@ class GrowingTrie:
             left = {s: n for s, n in found.items() if s not in gone}
             if not left:
                 continue
-            total = sum(left.values()) + len(left)
+            total = sum(left.values())
             if symbol in left:
-                return out + float(np.log2(left[symbol] / total))
-            out += float(np.log2(len(left) / total))
+                return out + float(np.log2((left[symbol] - DISCOUNT) / total))
+            out += float(np.log2(DISCOUNT * len(left) / total))
             gone |= left.keys()
         return out - float(np.log2(max(ALPHABET - len(gone), 1)))
 
     def learn(self, context: tuple[int, ...], symbol: int) -> None:
-        for order in range(self.order + 1):
+        for order in range(self.order, -1, -1):
             counts = self.seen[order].setdefault(context[self.order - order:], {})
             counts[symbol] = counts.get(symbol, 0) + 1
+            if counts[symbol] > 1:
+                return  # known here, so nothing new to shorter contexts
 
     def text_log2_prob(self, text: str, learn: bool) -> float:
         context, out = (START,) * self.order, 0.0
