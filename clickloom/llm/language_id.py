@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom.llm.bytework import slices, text_buffer
-from clickloom.llm.frames import fresh
+from clickloom.llm.frames import fresh, stage
 from clickloom.llm.ppm import ContextTrie, counted, levels_of, text_grams
 
 ORDER = 3
@@ -50,7 +50,8 @@ def training_sample(docs: DataFrame, usable: Column, text: str, lang: str, docs_
     rows = docs.filter(usable & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= most_chars)).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
         (F.xxhash64(text) / F.lit(2.0 ** 64) + 0.5).alias("place"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    # staged, its size is known, so that Spark sends it to the texts and not the texts to it
+    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
     # the share that leaves about twice the documents wanted, so that only those are sorted
     near = rows.join(counts, "lang").filter(F.col("place") * F.col("n") <= 2 * docs_per_language + 50)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
