@@ -91,29 +91,37 @@ SELECT id, member AS header_mi, ds, hh,
 FROM ev WHERE event_type = 'purchase'""", "ev")
 
 _cte("read_time", """
-SELECT max(CASE WHEN header_mi IS NULL THEN device ELSE header_mi END) AS user_id, header_mi, device,
-       max(TRY_CAST(use_time AS DOUBLE)) AS read_time, selected AS content_id
+SELECT header_mi, device, selected AS content_id, coalesce(header_mi, device) AS user_id,
+       max(TRY_CAST(use_time AS DOUBLE)) AS read_time
 FROM collect
-WHERE channel = '255' AND selected IS NOT NULL AND device IS NOT NULL AND device <> '' AND device <> '0'
-GROUP BY device, header_mi, selected""", "collect")
+WHERE channel = '255' AND selected IS NOT NULL AND coalesce(device, '') NOT IN ('', '0')
+GROUP BY ALL""", "collect")
 
 _cte("dim", f"""
 SELECT {_DEVICE.format('o_custkey')} AS device_id, o_orderkey % 3 AS content_id FROM orders""")
 
+# a new user's rows of the dimension, told apart by what they carry, with how often each is there
+_cte("new_user", """
+SELECT device_id AS device, content_id AS wlx_content_id, count(*) AS times
+FROM dim WHERE content_id > 0 AND device_id IS NOT NULL GROUP BY ALL""", "dim")
+
 _cte("new_impressions", """
-SELECT a.*, b.content_id AS wlx_content_id
-FROM impressions a LEFT JOIN (SELECT * FROM dim WHERE content_id > 0) b ON a.device = b.device_id
-WHERE b.device_id IS NOT NULL""", "impressions", "dim")
+SELECT shown.*, known.wlx_content_id
+FROM (SELECT * FROM impressions) shown
+INNER JOIN new_user known USING (device), range(known.times) AS copy(n)""", "impressions", "new_user")
 
 _cte("new_clicks", """
-SELECT a.* FROM clicks a LEFT JOIN (SELECT device_id FROM dim WHERE content_id > 0) b ON a.device = b.device_id
-WHERE b.device_id IS NOT NULL""", "clicks", "dim")
+SELECT clicked.*
+FROM clicks clicked
+INNER JOIN (SELECT device, sum(times) AS times FROM new_user GROUP BY device) known USING (device),
+     range(CAST(known.times AS BIGINT)) AS copy(n)""", "clicks", "new_user")
 
 
 def _timed(source: str) -> str:
     return f"""
-SELECT c.user_id, c.device, c.content_id, CASE WHEN d.read_time IS NULL THEN 0.0 ELSE d.read_time END AS read_time
-FROM {source} c LEFT JOIN read_time d ON c.user_id = d.user_id AND c.content_id = d.content_id"""
+SELECT clicked.user_id, clicked.device, clicked.content_id, coalesce(spent.read_time, 0.0) AS read_time
+FROM {source} clicked
+LEFT JOIN (SELECT user_id, content_id, read_time FROM read_time) spent USING (user_id, content_id)"""
 
 
 _cte("new_timed", _timed("new_clicks"), "new_clicks", "read_time")
