@@ -10,9 +10,15 @@ from clickloom import schemas as S
 UTC_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def _in_utc(ts: Column) -> Column:
+    """Wall time in UTC: timestamps with a zone are moved from the session's, those without are UTC already."""
+    return F.when(F.typeof(ts) == "timestamp_ntz", ts.cast("timestamp")).otherwise(
+        F.to_utc_timestamp(ts.cast("timestamp"), F.current_timezone()))
+
+
 def utc_text(ts: Column) -> Column:
-    """``2018-06-25T21:08:27.516000Z``"""
-    return F.date_format(ts, UTC_TEXT)
+    """``2018-06-25T21:08:27.516000Z``, whatever the session's time zone."""
+    return F.date_format(_in_utc(ts), UTC_TEXT)
 
 
 def sorted_entries(text_map: Column) -> Column:
@@ -46,6 +52,7 @@ def run_parameters(text_map: Column) -> Column:
 
 
 def hour_of(ts: Column, back: int = 0) -> tuple[Column, Column]:
-    """Partition values ``ds``, ``hh`` of the hour ``back`` hours before ``ts``."""
-    moved = ts - F.make_interval(hours=F.lit(back)) if back else ts
+    """Partition values ``ds``, ``hh``, in UTC, of the hour ``back`` hours before ``ts``."""
+    moved = _in_utc(ts)
+    moved = moved - F.make_interval(hours=F.lit(back)) if back else moved
     return F.date_format(moved, "yyyy-MM-dd"), F.date_format(moved, "HH")

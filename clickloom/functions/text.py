@@ -83,13 +83,17 @@ def key_device(key: ColumnOrName) -> Column:
 
 
 def record(*columns: ColumnOrName, sep: str = ",") -> Column:
-    """Delimited record; a NULL prints as ``None`` and keeps its place."""
-    shown = [
-        F.expr(f"coalesce(cast({c} as string), 'None')") if isinstance(c, str)
-        else F.coalesce(c.cast("string"), F.lit("None"))
-        for c in columns
-    ]
-    return F.concat_ws(sep, *shown)
+    """Delimited record; a NULL prints as ``None`` and keeps its place.
+
+    A value that holds the delimiter, a quote or a line break is quoted, quotes in it doubled.
+    """
+    def shown(c: ColumnOrName) -> Column:
+        value = _c(c).cast("string")
+        odd = value.contains(sep) | value.contains('"') | value.contains("\n") | value.contains("\r")
+        quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(odd, quoted).otherwise(F.coalesce(value, F.lit("None")))
+
+    return F.concat_ws(sep, *[shown(c) for c in columns])
 
 
 def fixed_point(number: ColumnOrName) -> Column:

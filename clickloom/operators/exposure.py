@@ -28,7 +28,10 @@ def _kept_items(content: Column, props: Column) -> Column:
             comma_list(content),
             lambda item: F.struct(
                 item.alias("content_id"),
-                F.get_json_object(F.try_element_at(parsed, item), "$.from").alias("recall_from"),
+                # of a repeated key the last entry counts, as JSON readers have it
+                F.get_json_object(
+                    F.try_element_at(F.filter(F.map_entries(parsed), lambda e: e["key"] == item), F.lit(-1))["value"], "$.from"
+                ).alias("recall_from"),
             ),
         )
         return F.filter(looked_up, lambda x: x["recall_from"].isNotNull())

@@ -52,14 +52,25 @@ def sorted_metrics(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("run_id", "name", "global_step")
 
 
+#: Of statuses at one time the later one here counts: a run that ended did run before.
+_STATUSES = [None, RUNNING, SUCCESS, FAILURE]
+
+
 def latest_status(statuses: DataFrame) -> DataFrame:
-    return statuses.groupBy("run_id").agg(
-        F.max_by("status", "ts").alias("status"), F.max("ts").alias("ts")
-    )
+    """Status and time of the last record of each run; a status of no known name is NULL.
+
+    Time and rank of the status are packed in one number, so the groups are hashed, not sorted.
+    """
+    rank = F.coalesce(*[F.when(F.col("status") == s, n) for n, s in enumerate(_STATUSES) if s], F.lit(0))
+    last = statuses.groupBy("run_id").agg(F.max(_micros(F.col("ts")) * 4 + rank).alias("_last"))
+    names = F.array(*[F.lit(s).cast("string") for s in _STATUSES])
+    return last.select(
+        "run_id", F.element_at(names, F.pmod("_last", F.lit(4)).cast("int") + 1).alias("status"),
+        F.timestamp_micros(F.floor(F.col("_last") / 4)).alias("ts"))
 
 
 def _first_of(rows: DataFrame, by: Sequence[str | Column], order: Column) -> DataFrame:
-    """The whole first row of every group, by aggregation: merged before the shuffle, no sort of groups."""
+    """The whole first row of every group, by aggregation: merged before the shuffle, though groups are sorted for it."""
     keys = [k.alias(f"_k{i}") if isinstance(k, Column) else F.col(k).alias(f"_k{i}") for i, k in enumerate(by)]
     first = F.min_by(F.struct(*[F.col(c) for c in rows.columns]), order).alias("_first")
     return rows.groupBy(*keys).agg(first).select("_first.*")
@@ -91,8 +102,10 @@ def sample_metrics(
 
 def final_values(metrics: DataFrame) -> DataFrame:
     """Value at the last step of every run and metric."""
-    return metrics.groupBy("run_id", "name").agg(
-        F.max("global_step").alias("global_step"), F.max_by("value", F.struct("global_step", "ts")).alias("value")
+    # step and time as one decimal, which a hashed group can hold in place
+    place = F.col("global_step").cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(38,0)") + _micros(F.col("ts"))
+    return metrics.withColumn("_place", place.cast("decimal(38,0)")).groupBy("run_id", "name").agg(
+        F.max("global_step").alias("global_step"), F.max_by("value", "_place").alias("value")
     )
 
 

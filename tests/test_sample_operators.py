@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from clickloom import schemas as S
+from clickloom.functions import text
 from clickloom.operators import audience, engagement, exposure, feature_slots, joins, quality, samples
 from clickloom.plans import hourly_samples as hourly
 
@@ -244,3 +245,14 @@ def test_training_rows(spark):
     got = samples.training_rows(built, samples.NUMERIC_FEATURES)
     assert got.columns == [*samples.NUMERIC_FEATURES, "label"]
     assert got.where("label").count() == 1
+
+
+def test_of_a_repeated_props_key_the_last_counts(spark):
+    rows = spark.createDataFrame([("7,8", '{"7":{"from":1},"8":{"from":3},"7":{"from":2}}')], "content string, props string")
+    assert [(r.content_id, r.recall_from, r.pos) for r in exposure.explode_positions(rows).collect()] == [("7", 2, 1), ("8", 3, 2)]
+
+
+def test_a_record_quotes_what_would_break_it(spark):
+    rows = spark.createDataFrame([("a,b", None, 'say "x"', "l\nm", "")], "a string, b string, c string, d string, e string")
+    line = rows.select(text.record("a", "b", "c", "d", "e").alias("v")).first().v
+    assert line == '"a,b",None,"say ""x""","l\nm",'

@@ -5,6 +5,7 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from clickloom.functions import records
 from clickloom.operators import batching, encoding, evaluation, runlog
 from clickloom.plans import training
 
@@ -207,3 +208,38 @@ def test_models_train_save_and_score(spark, tmp_path, model_type):
 def test_model_type_is_checked():
     with pytest.raises(ValueError):
         training.build_pipeline("other")
+
+
+def test_evaluation_of_nothing_and_of_rows_without_score(spark):
+    scored = spark.createDataFrame([(1, 0.9), (0, 0.2), (1, None), (None, 0.4)], "label int, score double")
+    none = evaluation.evaluate(scored.where("false")).first()
+    assert (none.examples, none.unscored, none.accuracy, none.average_loss) == (0, 0, None, None)
+    assert evaluation.evaluate_all(scored.where("false")).first().auc is None
+    some = evaluation.evaluate(scored).first()
+    assert (some.examples, some.unscored, some.accuracy, some.label_mean) == (2, 2, 1.0, 0.5)
+    every = evaluation.evaluate_all(scored).first()
+    assert (every.examples, every.unscored, every.auc) == (2, 2, 1.0)
+
+
+def test_latest_status_of_one_time(spark):
+    rows = spark.createDataFrame(
+        [("a", "success", 5), ("a", "running", 5), ("b", "failure", 7), ("b", "running", 9), ("c", "odd", 1)], "run_id string, status string, s int"
+    ).selectExpr("run_id", "status", "timestamp_seconds(s) as ts")
+    latest = runlog.latest_status(rows)
+    assert {r.run_id: r.status for r in latest.collect()} == {"a": "success", "b": "running", "c": None}
+    assert {r.run_id: r.s for r in latest.selectExpr("run_id", "unix_seconds(ts) as s").collect()} == {"a": 5, "b": 9, "c": 1}
+    for plan in (latest, runlog.final_values(spark.createDataFrame([("a", "m", 1, 2.0, 3)], "run_id string, name string, global_step long, value double, s int")
+                                             .withColumn("ts", F.expr("timestamp_seconds(s)")))):
+        assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_time_texts_are_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
+        row = spark.range(1).select(
+            records.utc_text(F.expr("timestamp_seconds(0)")).alias("zoned"), records.utc_text(F.expr("timestamp_ntz'1970-01-01 00:00:00'")).alias("plain"),
+            *[c.alias(n) for n, c in zip(("ds", "hh"), records.hour_of(F.expr("timestamp_seconds(0)"), 1), strict=True)]).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert row.zoned == row.plain == "1970-01-01T00:00:00.000000Z" and (row.ds, row.hh) == ("1969-12-31", "23")

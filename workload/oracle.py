@@ -532,21 +532,22 @@ SELECT run_id, min(global_step) FILTER (WHERE value >= 495000) AS stop_step FROM
 # --- evaluation ------------------------------------------------------------------------------
 
 _cte("scored", """
-SELECT l_linestatus, label, ((l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 900 + label * 60 + 30) / 1024.0::DOUBLE AS score
+SELECT l_linestatus, label, CASE WHEN l_linenumber = 6 AND l_partkey % 40 = 3 THEN NULL
+            ELSE ((l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 900 + label * 60 + 30) / 1024.0::DOUBLE END AS score
 FROM (SELECT *, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS label FROM lineitem)""")
 
 
 def _evaluation(by: str) -> str:
     return _with("scored") + f"""
-SELECT {by + ',' if by else ''} count(*) AS examples,
-       round(avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0::DOUBLE ELSE 0.0 END), 5) AS accuracy,
+SELECT {by + ',' if by else ''} count(score) AS examples, count(*) - count(score) AS unscored,
+       round(avg(CASE WHEN (score > 0.5) = (label = 1) THEN 1.0::DOUBLE WHEN label IS NOT NULL THEN 0.0 END), 5) AS accuracy,
        round(greatest(avg(label), 1 - avg(label)), 5) AS accuracy_baseline,
        round(coalesce(avg(label) FILTER (WHERE score > 0.5), 0.0), 5) AS precision,
        round(coalesce(avg(CASE WHEN score > 0.5 THEN 1.0::DOUBLE ELSE 0.0 END) FILTER (WHERE label = 1), 0.0), 5) AS recall,
        round(avg(label), 5) AS label_mean, round(avg(score), 5) AS prediction_mean,
        round(avg(CASE WHEN label = 1 THEN -ln(score) ELSE -ln(1 - score) END), 5) AS average_loss,
-       round(sum(CASE WHEN label = 1 THEN -ln(score) ELSE -ln(1 - score) END) / ceil(count(*) / 1024.0::DOUBLE), 5) AS loss
-FROM scored {'GROUP BY ' + by if by else ''}"""
+       round(sum(CASE WHEN label = 1 THEN -ln(score) ELSE -ln(1 - score) END) / ceil(count(score) / 1024.0::DOUBLE), 5) AS loss
+FROM (SELECT l_linestatus, score, CASE WHEN score IS NOT NULL THEN label END AS label FROM scored) {'GROUP BY ' + by if by else ''}"""
 
 
 ORACLE["evaluation_metrics"] = _evaluation("l_linestatus")
@@ -558,7 +559,7 @@ def _areas(by: str) -> str:
     keys = by + "," if by else ""
     return _with("scored") + f"""
 , hist AS (SELECT {keys} CAST(floor(score * 512) AS INTEGER) AS bin, sum(label)::DOUBLE AS pos, sum(1 - label)::DOUBLE AS neg
-           FROM scored GROUP BY {keys} bin),
+           FROM scored WHERE score IS NOT NULL GROUP BY {keys} bin),
 curve AS (SELECT *, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM hist WINDOW w AS ({group}ORDER BY bin DESC)),
 steps AS (SELECT *, tp / (tp + fp) AS prec, lag(tp, 1, 0) OVER w AS tp0, lag(fp, 1, 0) OVER w AS fp0,
                  lag(tp / (tp + fp), 1, tp / (tp + fp)) OVER w AS prec0

@@ -256,14 +256,15 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A label and a score with exact binary fractions (multiples of 1/1024) per lineitem."""
+    """A label and a score with exact binary fractions (multiples of 1/1024) per lineitem; some have no score."""
     return (
         table(spark, sf_dir, "lineitem")
         .selectExpr("*", "cast(l_returnflag = 'R' as int) as label")
         .selectExpr(
             "l_linestatus",
             "label",
-            "((l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 900 + label * 60 + 30) / 1024.0D as score",
+            "if(l_linenumber = 6 and l_partkey % 40 = 3, null,"
+            " ((l_orderkey * 31 + l_linenumber * 17 + l_partkey) % 900 + label * 60 + 30) / 1024.0D) as score",
         )
     )
 
