@@ -166,6 +166,14 @@ def add_wide_positions(rows: DataFrame, spec: EncoderSpec = EncoderSpec(), name:
     return _layered(rows, spec.hashes(), {name: f"array({', '.join(positions)})"})
 
 
+def positions_statement(spec: EncoderSpec, name: str) -> str:
+    """All columns and the wide positions as one SQL statement over ``__THIS__``, for a pipeline stage."""
+    hashes = ", ".join(f"{sql} as `{c}`" for c, sql in spec.hashes().items())
+    ids = [*spec.hash_ids().values(), *spec.cross_ids().values()]
+    places = ", ".join(f"{start}L + {sql}" for start, sql in zip(spec.offsets(), ids, strict=True))
+    return f"select *, array({places}) as `{name}` from (select *, {hashes} from __THIS__)"
+
+
 def encode_statement(spec: EncoderSpec, crosses: bool) -> str:
     """The ids as one SQL statement over ``__THIS__``, for a pipeline stage."""
     ids = {**spec.hash_ids(), **(spec.cross_ids() if crosses else {})}

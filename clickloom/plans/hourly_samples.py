@@ -151,7 +151,7 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> None:
     if job.item_ids:
         sinks.write_text(exposure.distinct_items(shown), f"{job.item_ids}/{ds}/{hh}")
     built = build_samples(inputs, HotKeys.of(shown), shown)
-    sinks.write_partitions(built, job.samples, fmt=job.fmt, files=job.files, one_partition=True)
+    sinks.write_partitions(built, job.samples, fmt=job.fmt, files=job.files, one_partition={"ds": ds, "hh": hh})
     if job.table:
         sinks.create_sample_table(spark, job.table, job.samples, fmt=job.fmt, replace=False)
         sinks.add_partition(spark, job.table, f"{job.samples}/ds={ds}/hh={hh}", ds=ds, hh=hh)

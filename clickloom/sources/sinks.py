@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from clickloom import schemas as S
+from clickloom.sources.delimited import READ_OPTIONS, TEXT_OPTIONS, escape_lines, unescape_lines
 
 
 def _sized(rows: DataFrame, files: int | None, *by: str) -> DataFrame:
@@ -22,33 +23,36 @@ def write_partitions(
     fmt: str = "parquet",
     files: int | None = None,
     sep: str = ",",
-    one_partition: bool = False,
+    one_partition: Mapping[str, str] | None = None,
 ) -> None:
     """Replace just the partitions that ``rows`` has; all others stay. Safe to run again.
 
     Rows are brought together by partition so that each gets few files. When all
-    rows belong to ``one_partition`` they are spread evenly instead.
+    rows belong to ``one_partition`` (its values) they are spread evenly instead, and its folder is
+    replaced even if there are no rows: then it is left empty.
     """
-    writer = (
-        _sized(rows, files, *([] if one_partition else by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-    )
-    (writer.option("sep", sep).csv(path) if fmt == "csv" else writer.format(fmt).save(path))
+    rows = escape_lines(rows) if fmt == "csv" else rows
+    if one_partition is not None:
+        path = "/".join([path.rstrip("/"), *(f"{c}={one_partition[c]}" for c in by)])
+        writer = _sized(rows.drop(*by), files).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    else:
+        writer = _sized(rows, files, *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    (writer.options(sep=sep, **TEXT_OPTIONS).csv(path) if fmt == "csv" else writer.format(fmt).save(path))
 
 
 def read_partitions(
     spark: SparkSession, path: str, schema: T.StructType, by: Sequence[str] = ("ds", "hh"),
     fmt: str = "parquet", sep: str = ",",
 ) -> DataFrame:
-    """Read a partitioned folder back with declared types, partition values as text."""
+    """Read a partitioned folder back with declared types, partition values as text; texts come back as they were written."""
     full = T.StructType([
         *[T.StructField(f.name, f.dataType) for f in schema],
         *[T.StructField(c, T.StringType()) for c in by],
     ])
     reader = spark.read.schema(full)
-    return reader.option("sep", sep).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt == "csv":
+        return unescape_lines(reader.options(sep=sep, **READ_OPTIONS).csv(path), *by)
+    return reader.format(fmt).load(path)
 
 
 def write_text(rows: DataFrame, path: str, files: int | None = None, overwrite: bool = True) -> None:
@@ -59,9 +63,13 @@ def write_text(rows: DataFrame, path: str, files: int | None = None, overwrite:
 def write_delimited(
     rows: DataFrame, path: str, sep: str = ",", files: int | None = None, overwrite: bool = True
 ) -> None:
-    """Rows as delimited text; a value that holds the delimiter is quoted."""
+    """Rows as delimited text; a value that holds the delimiter is quoted, line breaks inside values are escaped."""
     mode = "overwrite" if overwrite else "errorifexists"
-    _sized(rows, files).write.mode(mode).option("sep", sep).csv(path)
+    _sized(escape_lines(rows), files).write.mode(mode).options(sep=sep, **TEXT_OPTIONS).csv(path)
+
+
+#: As SQL text: backslashes and quotes inside an option's value are doubled or escaped there.
+_TABLE_OPTIONS = {k: v.replace("\\", "\\\\").replace("\0", "\\0") for k, v in READ_OPTIONS.items()}
 
 
 def _ddl(field: T.StructField) -> str:
@@ -75,12 +83,14 @@ def create_sample_table(
 ) -> None:
     """External partitioned table with column comments; ``replace`` drops an older definition.
 
-    Dropping an external table leaves its files in place.
+    Dropping an external table leaves its files in place. Through a table over text,
+    escaped line breaks are seen as they lie in the files.
     """
     if replace:
         spark.sql(f"drop table if exists {table}")
     columns = ", ".join([_ddl(f) for f in schema] + [f"{c} string" for c in by])
-    options = f" options (sep '{sep}')" if fmt == "csv" else ""
+    listed = ", ".join(f"{k} '{v}'" for k, v in {"sep": sep, **_TABLE_OPTIONS}.items())
+    options = f" options ({listed})" if fmt == "csv" else ""
     spark.sql(
         f"create table if not exists {table} ({columns}) using {fmt}{options}"
         f" partitioned by ({', '.join(by)}) location '{location}'"

@@ -159,3 +159,35 @@ def test_hourly_job_end_to_end(spark, tmp_path):
                    ("06", "ud2", 1, 9, 0, 0.0), ("06", "ud2", 2, None, 1, 0.0)]
     assert rows(spark.read.text(str(tmp_path / "ids" / "2024-01-01" / "05"))) == [("1",), ("2",)]
     spark.sql("drop table hourly_test")
+
+
+def test_texts_come_back_as_they_were(spark, tmp_path):
+    texts = ["a\nb", "q\"uo\"te", "back\\slash \\n \\\\", "  pad  ", "", None, "com,ma", "\r", "\\", "é", "\"", ","]
+    frame = spark.createDataFrame([(i, t, "2024-01-01") for i, t in enumerate(texts)], "i int, t string, ds string")
+    schema = frame.drop("ds").schema
+    sinks.write_partitions(frame, str(tmp_path / "p"), by=["ds"], fmt="csv")
+    assert dict(sinks.read_partitions(spark, str(tmp_path / "p"), schema, by=["ds"], fmt="csv").select("i", "t").collect()) == dict(enumerate(texts))
+    sinks.write_delimited(frame.drop("ds"), str(tmp_path / "d"), sep="\t")
+    back = delimited.read_delimited(spark, str(tmp_path / "d"), "\t", schema, {})
+    assert dict(back.collect()) == dict(enumerate(texts))
+    assert spark.read.text(str(tmp_path / "d")).count() == len(texts)
+    assert delimited.read_bad_lines(spark, str(tmp_path / "d"), "\t", schema).count() == 0
+
+
+def test_lines_that_do_not_fit_are_kept_apart(spark):
+    schema = T.StructType([T.StructField("u", T.StringType()), T.StructField("age", T.IntegerType()), T.StructField("c", T.StringType())])
+    lines = spark.createDataFrame([(1, "u1,abc,x"), (2, "u2,5"), (3, "u3,5,x,y"), (4, "u4,,x"), (5, "u5,7,"), (6, "")], "n int, value string")
+    good = delimited.parse_delimited(lines, "value", schema=schema, defaults={"age": -1, "c": "none"})
+    assert sorted(tuple(r) for r in good.collect()) == [(4, "u4", -1, "x"), (5, "u5", 7, "none")]
+    assert sorted(r.n for r in delimited.bad_lines(lines, "value", schema=schema).collect()) == [1, 2, 3]
+    by_column = delimited.parse_delimited(lines.select(F.struct("value").alias("s")), F.col("s.value"), schema=schema, defaults={})
+    assert by_column.count() == 2 and by_column.columns[0] == "s"
+
+
+def test_an_hour_written_again_without_rows_is_empty(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    rows = spark.createDataFrame([(1, "d", "01"), (2, "d", "02")], "v int, ds string, hh string")
+    for hh in ("01", "02"):
+        sinks.write_partitions(rows.where(F.col("hh") == hh), path, one_partition={"ds": "d", "hh": hh})
+    sinks.write_partitions(rows.where("false"), path, one_partition={"ds": "d", "hh": "01"})
+    assert [tuple(r) for r in sinks.read_partitions(spark, path, rows.select("v").schema).collect()] == [(2, "d", "02")]

@@ -366,6 +366,15 @@ SELECT coalesce(uid, device) AS u_id, device AS u_device_id, CAST(content_id AS
        content_id || ',' || pos AS u_favocate5, pos AS i_pos, ds, hh FROM shows""", "shows")
 ORACLE["partition_overwrite"] = _with("light") + """
 SELECT * REPLACE (CASE WHEN ds = '2024-01-15' THEN i_pos + 100 ELSE i_pos END AS i_pos) FROM light"""
+ORACLE["partition_emptied"] = _with("light") + "SELECT * FROM light WHERE NOT (ds = '2024-01-15' AND hh = '12')"
+ORACLE["texts_round_trip"] = """
+SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN text WHEN 1 THEN '  ' || substr(text, 1, 30) || '  ' WHEN 2 THEN '' WHEN 3 THEN NULL
+       WHEN 4 THEN replace(replace(text, ' ', '\\n'), 'e', '"') ELSE ',' || substr(text, 1, 5) || chr(13) END AS text
+FROM documents"""
+ORACLE["lines_kept_apart"] = """
+SELECT o_orderkey % 5 AS kind, CASE o_orderkey % 5 WHEN 3 THEN -1 WHEN 4 THEN 7 END AS age,
+       CASE o_orderkey % 5 WHEN 3 THEN 'x' WHEN 4 THEN 'none' END AS what, count(*) AS count
+FROM orders GROUP BY ALL"""
 ORACLE["registered_partitions"] = _with("light") + """
 SELECT * EXCLUDE (hh) FROM light WHERE ds IN ('2024-01-15', '2024-01-16')"""
 ORACLE["recovered_partitions"] = _with("light") + "SELECT * EXCLUDE (hh) FROM light"
@@ -571,3 +580,19 @@ FROM steps {'GROUP BY ' + by if by else ''}"""
 
 ORACLE["areas_under_curves"] = _areas("l_linestatus")
 ORACLE["areas_overall"] = _areas("")
+
+# --- training: what the test part tells of itself; the flags say what a useful model must do ---------------------
+
+_cte("learnt", f"""
+SELECT *, CASE WHEN l_linenumber IN (1, 2) AND fea7 < 45 OR fea22 = 7 THEN 1 ELSE 0 END AS label,
+       {_hash32("CAST(l_orderkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR) || CAST(fea2 AS VARCHAR)")} % 100 > 80 AS held_out
+FROM fea""", "fea")
+
+for _name in ("train_wide", "train_deep", "train_wide_deep"):
+    ORACLE[_name] = _with("learnt") + """
+SELECT count(*) AS examples, 0::BIGINT AS unscored, round(avg(label), 6) AS label_mean,
+       round(greatest(avg(label), 1 - avg(label)), 6) AS accuracy_baseline, true AS ranks, true AS beats_the_mean
+FROM learnt WHERE held_out"""
+ORACLE["export_and_score"] = _with("learnt") + """
+SELECT label, count(*) AS n, true AS same, true AS "right" FROM learnt GROUP BY label"""
+ORACLE["wide_vector"] = f"SELECT l_orderkey, l_linenumber, {sum(HASH_SIZES.values()) + sum(CROSS_SIZES.values())} AS size, wide FROM ({ORACLE['wide_positions']})"

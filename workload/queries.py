@@ -387,6 +387,43 @@ def partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.read_partitions(spark, path, _LIGHT_SCHEMA)
 
 
+@query
+def partition_emptied(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours written one by one, one of them written again without rows, everything read back."""
+    path = scratch_path(spark, "emptied")
+    rows = _light_samples(spark, sf)
+    sinks.write_partitions(rows, path)
+    hour = {"ds": "2024-01-15", "hh": "12"}
+    gone = rows.where("false")
+    sinks.write_partitions(gone, path, one_partition=hour)
+    return sinks.read_partitions(spark, path, _LIGHT_SCHEMA)
+
+
+_ODD_TEXTS = """case doc_id % 6 when 0 then text when 1 then concat('  ', substr(text, 1, 30), '  ') when 2 then ''
+                when 3 then null when 4 then replace(replace(text, ' ', '\\\\n'), 'e', '"') else concat(',', substr(text, 1, 5), '\\r') end"""
+
+
+@query
+def texts_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts with line breaks, quotes, backslashes, outer spaces, empty and missing, written as delimited text and read."""
+    path = scratch_path(spark, "texts")
+    rows = views.table(spark, sf, "documents").select("doc_id", F.expr(_ODD_TEXTS).alias("text"))
+    sinks.write_delimited(rows, path, files=3)
+    return delimited.read_delimited(spark, path, schema=rows.schema, defaults={})
+
+
+@query
+def lines_kept_apart(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of the right form, and those with a bad number, too few or too many fields, by the kind of line."""
+    schema = T.StructType([T.StructField("who", T.StringType()), T.StructField("age", T.IntegerType()), T.StructField("what", T.StringType())])
+    line = F.expr("""concat('u', o_custkey, case o_orderkey % 5 when 0 then ',abc,x' when 1 then ',7' when 2 then ',7,x,y' when 3 then ',,x'
+                     else ',7,' end)""")
+    lines = views.table(spark, sf, "orders").select((F.col("o_orderkey") % 5).alias("kind"), line.alias("value"))
+    good = delimited.parse_delimited(lines, "value", schema=schema, defaults={"age": -1, "what": "none"})
+    bad = delimited.bad_lines(lines, "value", schema=schema)
+    return good.groupBy("kind", "age", "what").count().unionByName(bad.groupBy("kind").count(), allowMissingColumns=True)
+
+
 @query
 def registered_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """An external delimited table whose day partitions are registered one by one, twice."""
@@ -673,24 +710,41 @@ def areas_overall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _training(spark: SparkSession) -> training.TrainingSpec:
-    return training.TrainingSpec(
-        wide_size=1 << 14, max_iter=5, deep_iter=5, partitions=spark.sparkContext.defaultParallelism)
+    return training.TrainingSpec(partitions=2, reg=0.1, tolerance=1e-3, deep_tolerance=1e-3)
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Features, a label that they tell, and the split."""
     rows = views.features(spark, sf)
     keys = [F.col("l_orderkey"), F.col("l_linenumber"), F.col("fea2")]
-    return rows.select(*_KEYS[:2], *_SPEC.hashed, "label", split_flag(*keys).alias("r_type"))
+    label = F.expr("cast(l_linenumber in (1, 2) and fea7 < 45 or fea22 = 7 as int)").alias("label")
+    return rows.select(*_KEYS[:2], *_SPEC.hashed, label, split_flag(*keys).alias("r_type"))
 
 
 def _trained(model_type: str) -> Query:
+    """What the data alone tell of the test part, and whether the model beats knowing no more than that."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         _, metrics = training.train_and_evaluate(_training_rows(spark, sf), model_type, _training(spark))
-        return metrics
+        mean = F.col("label_mean")
+        entropy = -(mean * F.ln(mean) + (1 - mean) * F.ln(1 - mean))
+        return metrics.select(
+            "examples", "unscored", F.round(mean, 6).alias("label_mean"), F.round("accuracy_baseline", 6).alias("accuracy_baseline"),
+            (F.col("auc") > 0.75).alias("ranks"), (F.col("average_loss") < entropy).alias("beats_the_mean"))
 
     return run
 
 
+@query
+def wide_vector(spark: SparkSession, sf: str) -> DataFrame:
+    """Size and places of the vectors that the wide model is fitted on."""
+    spec = training.TrainingSpec(encoder=_SPEC)
+    rows = views.features(spark, sf)
+    for step in training.build_pipeline(training.WIDE, spec).getStages()[:2]:
+        rows = step.transform(rows)
+    parts = F.from_json(F.get_json_object(F.to_json(F.struct("wide_features")), "$.wide_features"), "size int, indices array<bigint>")
+    return rows.select(*_KEYS[:2], parts["size"].alias("size"), F.array_join(parts["indices"].cast("array<string>"), " ").alias("wide"))
+
+
 @query
 def train_wide(spark: SparkSession, sf: str) -> DataFrame:
     return _trained(training.WIDE)(spark, sf)
@@ -708,9 +762,15 @@ def train_wide_deep(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def export_and_score(spark: SparkSession, sf: str) -> DataFrame:
-    """A model saved, loaded and applied to all rows; mean score per label."""
+    """A model saved, loaded and applied to all rows, by label: does it score as before, and does it tell them apart?"""
     path = scratch_path(spark, "model")
     rows = _training_rows(spark, sf)
-    training.export_model(training.fit(rows.where(F.col("r_type") == 1), training.WIDE, _training(spark)), path)
-    scored = training.score(training.load_model(path), rows, training.WIDE, ["label"])
-    return scored.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score"))
+    model = training.fit(rows.where(F.col("r_type") == 1), training.WIDE, _training(spark))
+    training.export_model(model, path)
+    keep = [*_KEYS[:2], "label"]
+    before = training.score(model, rows, training.WIDE, keep).withColumnRenamed("score", "before")
+    after = training.score(training.load_model(path), rows, training.WIDE, keep)
+    both = after.join(before, keep)
+    return both.groupBy("label").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("score") == F.col("before")).alias("same"),
+        ((F.avg("score") > 0.5) == (F.first("label") == 1)).alias("right"))
