@@ -34,7 +34,7 @@ BENCH = {
     "encode_wide": _encode,
     "encode_bucket_crosses": _encode_buckets,
     **{name: QUERIES[name] for name in (
-        "batches", "throughput_by_steps", "sampled_by_steps", "evaluation_metrics", "areas_overall", "train_wide",
+        "batches", "throughput_by_steps", "sampled_by_steps", "evaluation_metrics", "areas_overall", "train_wide", "train_deep",
     )},
 }
 

