@@ -78,8 +78,13 @@ def with_slot_defaults(rows: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataF
     )
 
 
-def slot_table(snapshot: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:
-    """Snapshot rows to one row of slot values per entity."""
+def slot_table(
+    snapshot: DataFrame, slots: Sequence[S.FeatureSlot], wanted: DataFrame | None = None, key: str = "entity_id"
+) -> DataFrame:
+    """Snapshot rows to one row of slot values per entity, or per one of the ``wanted`` ids in column ``key``."""
+    if wanted is not None:
+        ids = wanted.select(F.col(key).cast("string").alias("entity_id"))
+        snapshot = snapshot.join(ids, "entity_id", "left_semi")
     return fill_slots(parse_values(snapshot, slots), slots)
 
 

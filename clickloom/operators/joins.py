@@ -12,9 +12,6 @@ from clickloom.functions.text import any_null
 
 #: Rows of one key that a single task may hold; a key with more is split.
 ROWS_PER_TASK = 2_000_000
-#: Most keys that are split, whatever the size of the data; the others hold less
-#: than this part of the rows each. Bounds what skew_join broadcasts.
-MOST_HOT_KEYS = 50_000
 #: NULL keys match nothing, so they can be spread over every task without replicas.
 NULL_SPREAD = 1 << 20
 
@@ -25,14 +22,12 @@ _PIECES = "_pieces"
 def hot_keys(rows: DataFrame, keys: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows, and into how many pieces to cut each.
 
-    Counts are partly summed before the shuffle. A key must also hold more than
-    1 / ``MOST_HOT_KEYS`` of the rows, so no more than that many keys can qualify
-    and the result is small enough to broadcast at any scale.
+    Counts are partly summed before the shuffle. There are no more such keys than
+    ``rows_per_task`` goes into the rows; Spark broadcasts them if their size allows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     counts = rows.where(~any_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    share = counts.agg(F.sum("_n") / F.lit(MOST_HOT_KEYS)).scalar()
-    return counts.where((F.col("_n") > rows_per_task) & (F.col("_n") > share)).select(
+    return counts.where(F.col("_n") > rows_per_task).select(
         *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(_PIECES)
     )
 
@@ -70,8 +65,8 @@ def skew_join(
         # coalesced, as a salt that might be NULL would make Spark filter on it and hash every row twice
         salt = f"pmod({spread}, if({null_key}, {NULL_SPREAD}, coalesce({_PIECES}, 1)))"
         hot_on = [c for c in hot.columns if c != _PIECES]
-        salted = left.join(F.broadcast(hot), hot_on, "left")
-        repeated = right.join(F.broadcast(hot), hot_on, "left").selectExpr(
+        salted = left.join(hot, hot_on, "left")
+        repeated = right.join(hot, hot_on, "left").selectExpr(
             *_quoted(right.columns), f"explode(sequence(0, coalesce({_PIECES}, 1) - 1)) as {_SALT}"
         )
     salted = salted.selectExpr(*_quoted(left.columns), f"coalesce(cast({salt} as int), 0) as {_SALT}")

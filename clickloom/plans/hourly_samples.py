@@ -42,7 +42,7 @@ class HotKeys:
         items = exposure.listed_items(impressions.select("content"))
         # a hot (item, device) pair needs a hot device, so only those lists are opened
         pairs = exposure.listed_items(
-            impressions.select("device", "content").join(F.broadcast(devices), "device", "left_semi")
+            impressions.select("device", "content").join(devices, "device", "left_semi")
         )
         return HotKeys(
             devices=devices,
@@ -82,12 +82,15 @@ def featured_rows(
 ) -> DataFrame:
     """Labelled rows with all item and user slots.
 
-    Item slots first, user slots last: the long user texts are then attached
+    Features are looked up for the ids at hand alone: the snapshots are cut to them before they are
+    pivoted. Item slots first, user slots last: the long user texts are then attached
     by the final join and no later shuffle carries them.
     """
+    if shown is None:
+        shown = shown_to_new_users(inputs, hot.devices if hot else None)
     rows = labelled_positions(inputs, hot, expand=False, shown=shown)
-    items = feature_slots.slot_table(inputs.item_features, S.ITEM_SLOTS)
-    users = feature_slots.slot_table(inputs.user_features, S.USER_SLOTS)
+    items = feature_slots.slot_table(inputs.item_features, S.ITEM_SLOTS, exposure.distinct_items(shown), "content_id")
+    users = feature_slots.slot_table(inputs.user_features, S.USER_SLOTS, shown.select("uid").distinct(), "uid")
     rows = feature_slots.attach_slots(rows, "content_id", items, S.ITEM_SLOTS, hot.items if hot else None)
     return feature_slots.attach_slots(rows, "uid", users, S.USER_SLOTS, hot.users if hot else None)
 

@@ -256,3 +256,12 @@ def test_a_record_quotes_what_would_break_it(spark):
     rows = spark.createDataFrame([("a,b", None, 'say "x"', "l\nm", "")], "a string, b string, c string, d string, e string")
     line = rows.select(text.record("a", "b", "c", "d", "e").alias("v")).first().v
     assert line == '"a,b",None,"say ""x""","l\nm",'
+
+
+def test_snapshots_are_cut_to_the_ids_at_hand_before_the_pivot(spark):
+    snapshot = spark.createDataFrame(
+        [], "entity_id string, errcode int, ord int, feature_name string, value_type string, string_value string,"
+            " array_value array<string>, float_value double")
+    wanted = spark.createDataFrame([("a",)], "content_id string")
+    plan = feature_slots.slot_table(snapshot, S.ITEM_SLOTS, wanted, "content_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
