@@ -1,14 +1,15 @@
 """Language identification by code length: one byte context trie per language, frozen after training.
 
-The tries learn from a bounded sample of labelled documents per language (``SAMPLE_DOCS`` of at most
-``SAMPLE_CHARS`` characters each, the first by hash), so the model that is broadcast is bounded whatever the table's size.
+The tries learn from a bounded sample of labelled documents per language (``SAMPLE_DOCS`` different texts of at most
+``SAMPLE_CHARS`` characters each, the first by hash; beginnings of longer ones where these are too few), so the model
+that is broadcast is bounded whatever the table's size.
 Every document is scored whole under every trie; the language with the shortest code is predicted, and
 its score is its share of the probability of the text over all languages, all equally likely beforehand.
 
 The model is trained on text and language alone; a prediction reads the text alone. Edge cases: a text that is null or
 has no letter is ``und`` with score 0, and so is every text where nothing could be learnt; null
 languages and texts are not learnt from; equal scores go to the smaller language name; repeated rows are
-scored alike; an empty table has no rows; all columns pass through, added names get underscores where taken.
+learnt from once and scored alike; an empty table has no rows; all columns pass through, added names get underscores where taken.
 """
 
 from __future__ import annotations
@@ -46,16 +47,27 @@ class LanguageModel:
 
 def training_sample(docs: DataFrame, usable: Column, text: str, lang: str, docs_per_language: int = SAMPLE_DOCS,
                     most_chars: int = SAMPLE_CHARS) -> DataFrame:
-    """(lang, text): for each language the documents of least hash among the usable ones."""
-    rows = docs.filter(usable & F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= most_chars)).select(
-        F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"),
-        (F.xxhash64(text) / F.lit(2.0 ** 64) + 0.5).alias("place"))
-    # staged, its size is known, so that Spark sends it to the texts and not the texts to it
-    counts = stage(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
-    # the share that leaves about twice the documents wanted, so that only those are sorted
-    near = rows.join(counts, "lang").filter(F.col("place") * F.col("n") <= 2 * docs_per_language + 50)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "text"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= docs_per_language).select("lang", "text")
+    """(lang, text): for each language the different texts of least hash among the usable ones.
+
+    Copies count once. Only where whole texts are too few, beginnings of longer ones fill the places left.
+    """
+    rows = docs.filter(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(lang).cast("string").alias("lang"), F.substring(F.col(text).cast("string"), 1, most_chars).alias("text"),
+        (F.length(text) > most_chars).alias("cut")).withColumn("key", F.xxhash64("text"))
+    keys = stage(rows.groupBy("lang", "key").agg(F.min("cut").alias("cut")), "language-keys")
+    # staged, its size is known, so that Spark sends it to the keys and not the keys to it
+    counts = stage(keys.groupBy("lang").agg(F.count_if(~F.col("cut")).alias("n_whole"), F.count_if("cut").alias("n_cut")),
+                   "language-counts")
+    # the share that leaves about twice the texts wanted, so that only those are sorted
+    place, most = F.col("key") / F.lit(2.0 ** 64) + 0.5, 2 * docs_per_language + 50
+    near = keys.join(counts, "lang").filter(
+        F.when(F.col("cut"), (F.col("n_whole") < docs_per_language) & (place * F.col("n_cut") <= most))
+        .otherwise(place * F.col("n_whole") <= most))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("cut", "key"))
+    chosen = near.withColumn("rank", rank).filter(F.col("rank") <= docs_per_language).select("lang", "key")
+    # likewise sent to the texts; their copies are folded before they are shuffled
+    found = rows.join(stage(chosen, "language-sample"), ["lang", "key"])
+    return found.groupBy("lang", "key").agg(F.min("text").alias("text")).select("lang", "text")
 
 
 def train(sample: DataFrame, order: int = ORDER) -> LanguageModel:

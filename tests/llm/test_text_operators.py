@@ -253,6 +253,25 @@ def test_languages(spark, none):
     assert language_id.identify(none, model).count() == 0
 
 
+def test_language_sample_of_copies_and_long_texts(spark):
+    def sample(rows, **bounds):
+        frame = spark.createDataFrame(rows, "text string, lang string")
+        return sorted(tuple(r) for r in language_id.training_sample(frame, F.lit(True), "text", "lang", **bounds).collect())
+
+    texts = spark.createDataFrame([(f"text {i}",) for i in range(60)], "text string").orderBy(F.xxhash64("text"))
+    texts = [r.text for r in texts.collect()]
+    late = texts[-5:]  # of large hash: thinned by the number of rows, none of them would stay
+    assert sample([(t, "aa") for t in late] * 400) == sorted(("aa", t) for t in late)
+    # the text of least hash, copied, leaves the others their places
+    assert sample([(texts[0], "aa")] * 300 + [(t, "aa") for t in late]) == sorted(("aa", t) for t in [texts[0], *late])
+    # whole texts first, then beginnings of longer ones, different ones only
+    long = [(c * 50, "bb") for c in "wxyz"]
+    assert sample([("short", "bb"), *long, *long], docs_per_language=3, most_chars=20)[0] == ("bb", "short")
+    assert sample(long + [("w" * 70, "bb")], most_chars=20) == [("bb", c * 20) for c in "wxyz"]
+    assert sample([("a", "bb"), ("b", "bb"), *long], docs_per_language=2, most_chars=20) == [("bb", "a"), ("bb", "b")]
+    assert len(sample([("w" * 20, "bb"), *long], docs_per_language=3, most_chars=20)) == 3
+
+
 @needs_tables
 def test_held_out_languages(spark):
     found = queries.QUERIES["op6_language_id"](spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang"), "doc_id")
