@@ -9,7 +9,8 @@ the source's side are the text.
 
 Pages are independent of each other: no shuffle, each page in memory alone. Edge cases: null, empty and
 text-free pages give an empty text; unclosed and stray tags are repaired as browsers do, roughly; an unclosed
-comment or script runs to the end; repeated rows give repeated results; an empty table has no rows; further columns pass through.
+comment, script, style, title or textarea runs to the end; other elements that show no text end with what holds them,
+never closed at the next block; head has no text of its own and needs no end; repeated rows give repeated results; an empty table has no rows; further columns pass through.
 """
 
 from __future__ import annotations
@@ -26,10 +27,22 @@ from pyspark.sql import types as T
 from clickloom.llm.frames import fresh
 
 # fixed values: HTML's element groups, and the words that name page parts in classes and ids
-SILENT = "script style noscript template svg math iframe object canvas audio video head title select datalist textarea button"
+#: Their content is no markup; unclosed, it runs to the end.
+RAW = "script style title textarea"
+#: Elements whose content is markup, but shows no text.
+SILENT = frozenset("noscript template svg iframe select datalist button annotation annotation-xml".split())
+NESTING = frozenset("template svg".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
-                   "strike strong sub sup time tt u var wbr".split())
+                   "strike strong sub sup time tt u var wbr "
+                   "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom msub msup "
+                   "msubsup munder mover munderover mmultiscripts mprescripts mtable".split())
+#: Inline, but apart from the text around it.
+SPACED = frozenset("br mtr mtd".split())
+#: What ends a silent element that is never closed.
+BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
+                   "form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th "
+                   "thead tr ul".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
           "th": ("td", "th"), "option": ("option",)}
 #: What an implied end tag does not reach beyond.
@@ -52,9 +65,12 @@ ADJACENT, SIBLING = 1.5, 0.75
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<({'|'.join(SILENT.split())})\b(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(RAW.split())})(?=[\s/>])(?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>"
     r"|<[!?][^>]*>", re.S | re.I)
+#: Attributes that end in a slash which belongs to no value.
+_EMPTY = re.compile(r"""(?:^|[\s"'])[^\s"'=]*/\Z""")
+_SILENT = re.compile(rf"<(?:{'|'.join(SILENT)})(?=[\s/>])", re.I)
 _MARK = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
 
@@ -85,6 +101,25 @@ def _kind(tag: str, attributes: str, inside: int) -> int:
     return 0
 
 
+def _closed(source: str) -> set[int]:
+    """Where the silent elements start that have an end tag of their own."""
+    out: set[int] = set()
+    waiting: dict[str, list[int]] = {}
+    if _SILENT.search(source):
+        for m in _TOKEN.finditer(source):
+            if m[3] is None or (tag := m[3].lower()) not in SILENT:
+                continue
+            starts = waiting.setdefault(tag, [])
+            if m[2]:
+                if starts:
+                    out.add(starts.pop())
+            elif not _EMPTY.search(m[4]):
+                if tag not in NESTING:
+                    starts.clear()
+                starts.append(m.start())
+    return out
+
+
 class Page:
     """The text blocks of a page: texts, scores, and the elements they lie in."""
 
@@ -97,8 +132,10 @@ class Page:
         pieces: list[str] = []
         linked = links = 0
         at = 0
+        closed = _closed(source)
+        silent, ends = 0, True  # the place on the stack of the outermost silent element, and whether it is closed
         for m in _TOKEN.finditer(source):
-            if m.start() > at:
+            if m.start() > at and not silent:
                 piece = source[at:m.start()]
                 pieces.append(piece)
                 if links:
@@ -106,10 +143,38 @@ class Page:
             at = m.end()
             tag = m[3]
             if tag is None:
-                if m[1] is not None and m[1].lower() in ("select", "textarea", "button"):
+                if m[1] is not None and m[1].lower() == "textarea" and not silent:
                     pieces.append(" ")
                 continue
             tag = tag.lower()
+            if tag in ("script", "style", "title", "textarea", "head"):
+                continue  # ends without a start and empty elements; what may stand in head shows no text
+            if silent and not m[2]:
+                outer, inner = stack[silent][0], (t[0] for t in stack[silent + 1:])
+                if tag == outer and not ends or tag in BLOCKS and (
+                        not ends or outer == "svg" and not any(t in ("foreignobject", "desc") for t in inner)):
+                    del stack[silent:]
+                    silent = 0
+            elif silent:
+                place = 0 if tag in INLINE else next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+                if place:
+                    del stack[max(place, silent):]
+                if place and place <= silent:
+                    outer, silent = silent, 0
+                    if place == outer:
+                        continue
+            if silent:
+                if not m[2] and tag not in INLINE and tag not in SPACED and tag not in VOID and not _EMPTY.search(m[4]):
+                    stack.append((tag, *stack[-1][1:]))
+                continue
+            if tag in SILENT:
+                if not m[2]:
+                    if tag in ("select", "button"):
+                        pieces.append(" ")
+                    if not _EMPTY.search(m[4]):
+                        silent, ends = len(stack), m.start() in closed
+                        stack.append((tag, *stack[-1][1:]))
+                continue
             if tag in INLINE:
                 if tag == "a":
                     links = max(0, links - 1) if m[2] else links + 1
@@ -118,7 +183,7 @@ class Page:
                     continue
                 if not _kind(tag, m[4], 0):
                     continue
-            elif tag == "br":
+            elif tag in SPACED:
                 pieces.append(" ")
                 continue
             elif pieces:
@@ -140,10 +205,10 @@ class Page:
             self.parent.append(element)
             self.depth.append(self.depth[element] + 1)
             stack.append((tag, len(self.parent) - 1, kind or near, near if kind else far))
-        if at < len(source):
+        if at < len(source) and not silent:
             pieces.append(source[at:])
         if pieces:
-            self._flush(pieces, linked, stack[-1])
+            self._flush(pieces, linked, stack[silent - 1])
 
     def _flush(self, pieces: list[str], linked: int, top: tuple) -> None:
         raw = "".join(pieces)

@@ -442,6 +442,38 @@ def test_main_text(spark):
     assert html_text.extract_text(frame.filter("false")).count() == 0
 
 
+def test_elements_without_text():
+    body = "<article><p>One line of text.</p>%s<p>More text after it.</p></article><p>And the end of the page, with words enough to stay.</p>"
+    want = "One line of text. More text after it."
+
+    def reads(middle, before=""):
+        text = html_text.main_text(before + body % middle)
+        return text.removesuffix(" And the end of the page, with words enough to stay.")
+
+    # head may be left open, with or without a body tag, and may be followed by text at once
+    for head in ("<head><title>T</title><meta charset=utf-8>", "<html><head><title>T</title><script>x</script><body>",
+                 "<head><noscript><style>p{}</style><p>no</p></noscript><link rel=a></head>"):
+        assert reads("", head) == want
+    for tag in ("select", "button", "svg", "iframe", "noscript", "template", "datalist"):
+        shown = [f"<{tag} a=b/c>", f"<{tag} a='b' />", f"<{tag}/>", f"<{tag} a>hidden<i>too</i></{tag}>", f"<{tag}>hidden<{tag}>hidden</{tag}>",
+                 f"<{tag}><x><z>hidden</x></{tag}>", f"<div><{tag}>hidden</div>", f"<{tag.upper()}>hidden</{tag} >"]
+        for middle in shown:
+            assert reads(middle) == want, middle
+            assert reads(middle, f"<p><{tag}>hidden</{tag}></p>") == want, middle
+        assert reads(f"<p>left<{tag}>hidden</{tag}>right.</p>").replace("left right", "leftright") == want.replace(". M", ". leftright. M")
+        assert reads(f"<{tag}-group>Shown here.</{tag}-group>") == want.replace(". M", ". Shown here. M")
+    assert reads("<svg><svg>hidden</svg>hidden</svg>") == reads("<svg><foreignObject><div>hidden</div>hidden</svg>") == want
+    assert reads("<noscript><div><p>hidden</div>hidden</noscript>") == want
+    # what stands in these is text of the page
+    for tag in ("object", "video", "audio", "canvas"):
+        assert reads(f"<{tag} a=b><p>Shown here.</p></{tag}>") == want.replace(". M", ". Shown here. M")
+    assert reads("<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> here.</p>") == want.replace(". M", ". So x=2 here. M")
+    # these are closed or run to the end
+    for tag in ("script", "style", "title", "textarea"):
+        assert reads(f"<{tag}>hidden<p></{tag}>") == reads(f"<{tag} src='x' />") == reads(f"</{tag}>") == want
+        assert reads(f"<{tag}>") == "One line of text."
+
+
 def test_cut_is_minimal():
     rng = random.Random(6)
     for _ in range(150):
