@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numbers
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,9 +102,10 @@ def sample_metrics(
 
 
 def final_values(metrics: DataFrame) -> DataFrame:
-    """Value at the last step of every run and metric."""
-    # step and time as one decimal, which a hashed group can hold in place
-    place = F.col("global_step").cast("decimal(38,0)") * F.lit(10 ** 18).cast("decimal(38,0)") + _micros(F.col("ts"))
+    """Value at the last step of every run and metric; of one step's records one without a time, or step, is the first."""
+    # step and time as one decimal, which a hashed group can hold in place; what is missing lies below all there are
+    step = F.coalesce(F.col("global_step").cast("decimal(38,0)"), F.lit(Decimal(-10 ** 19)).cast("decimal(38,0)"))
+    place = step * F.lit(10 ** 18).cast("decimal(38,0)") + F.coalesce(_micros(F.col("ts")), F.lit(-5 * 10 ** 17))
     return metrics.withColumn("_place", place.cast("decimal(38,0)")).groupBy("run_id", "name").agg(
         F.max("global_step").alias("global_step"), F.max_by("value", "_place").alias("value")
     )

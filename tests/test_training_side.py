@@ -256,6 +256,15 @@ def test_latest_status_of_one_time(spark):
         assert "SortAggregate" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_final_values_without_times_or_steps(spark):
+    metrics = spark.createDataFrame(
+        [("a", "m", 1, 1.0, 5), ("a", "m", 2, 2.0, None), ("b", "m", 7, 3.0, None), ("c", "m", 4, 4.0, None), ("c", "m", 4, 5.0, -62_000_000_000),
+         ("d", "m", None, 6.0, 1), ("e", "m", None, 7.0, 9), ("e", "m", -(2 ** 63), 8.0, None), ("f", "m", 3, 9.0, 250_000_000_000), ("f", "m", 4, 10.0, None)],
+        "run_id string, name string, global_step long, value double, s long").withColumn("ts", F.expr("timestamp_seconds(s)"))
+    assert [r[2:] for r in rows(runlog.final_values(metrics))] == [
+        (2, 2.0), (7, 3.0), (4, 5.0), (None, 6.0), (-(2 ** 63), 8.0), (4, 10.0)]
+
+
 def test_time_texts_are_utc_in_any_session_zone(spark):
     zone = spark.conf.get("spark.sql.session.timeZone")
     try:
