@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.llm import best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, lm_score, near_dedup, substring_dedup
+from clickloom.llm import (
+    best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, lm_score, near_dedup,
+    subvector_clusters, substring_dedup,
+)
 from clickloom.llm.frames import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -157,3 +161,55 @@ def op3_lm_score(spark: SparkSession, sf: str) -> DataFrame:
     scored = lm_score.score_texts(table(spark, sf, "documents"), ~in_fold("doc_id", 10, 0))
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
                          "score")
+
+
+@query
+def op12_centroid_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    found, centroids = subvector_clusters.cluster_vectors(table(spark, sf, "embeddings"))
+    digests = [(i, hashlib.sha256(",".join(map(str, c)).encode()).hexdigest()) for i, c in enumerate(centroids.tolist())]
+    named = spark.createDataFrame(digests, "cluster int, centroid_sha256 string")
+    # one row per cluster, 40 at most: small enough to broadcast at any size of the table
+    sums = found.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia")).join(F.broadcast(named), "cluster")
+    whole = found.agg(F.sum("distance").alias("inertia")).first()["inertia"]
+    return found.join(F.broadcast(sums), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", F.lit(whole).cast("long").alias("inertia"), "centroid_sha256")
+
+
+def _clusters_sql(k: int, rounds: int) -> str:
+    """Lloyd's rounds one after the other; a round's centroids in long form (c, d, x)."""
+    nearest = """n{r} AS MATERIALIZED (
+    SELECT rid, c, dist FROM (
+        SELECT p.rid, m.c, sum((p.x - m.x) * (p.x - m.x)) AS dist,
+               row_number() OVER (PARTITION BY p.rid ORDER BY sum((p.x - m.x) * (p.x - m.x)), m.c) AS place
+        FROM parts p JOIN m{r} m ON m.d = p.d GROUP BY p.rid, m.c)
+    WHERE place = 1
+)"""
+    moved = """m{n} AS MATERIALIZED (
+    SELECT m.c, m.d, coalesce(s.x, m.x) AS x FROM m{r} m LEFT JOIN (
+        SELECT n.c, p.d, CAST(sum(p.x) // count(*) - CASE WHEN sum(p.x) % count(*) < 0 THEN 1 ELSE 0 END AS BIGINT) AS x
+        FROM n{r} n JOIN parts p ON p.rid = n.rid GROUP BY n.c, p.d) s ON s.c = m.c AND s.d = m.d
+)"""
+    steps = [nearest.format(r=0)]
+    for r in range(rounds):
+        steps += [moved.format(r=r, n=r + 1), nearest.format(r=r + 1)]
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT rid, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v
+), m0 AS MATERIALIZED (
+    SELECT c, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM (
+        SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM v)
+    WHERE c < {k}
+), {", ".join(steps)}, digests AS (
+    SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS digest FROM m{rounds} GROUP BY c
+)
+SELECT v.vec_id, CAST(n.c AS INTEGER) AS cluster, CAST(n.dist AS BIGINT) AS distance,
+       CAST(sum(n.dist) OVER (PARTITION BY n.c) AS BIGINT) AS cluster_inertia, CAST(sum(n.dist) OVER () AS BIGINT) AS inertia,
+       digests.digest AS centroid_sha256
+FROM n{rounds} n JOIN v ON v.rid = n.rid JOIN digests ON digests.c = n.c
+"""
+
+
+ORACLE["op12_centroid_clusters"] = _clusters_sql(40, 5)
