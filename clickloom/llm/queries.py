@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.llm import (
     best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, lm_score, near_dedup,
-    subvector_clusters, substring_dedup,
+    subvector_clusters, substring_dedup, token_alignment,
 )
 from clickloom.llm.frames import in_fold
 
@@ -213,3 +213,9 @@ FROM n{rounds} n JOIN v ON v.rid = n.rid JOIN digests ON digests.c = n.c
 
 
 ORACLE["op12_centroid_clusters"] = _clusters_sql(40, 5)
+
+
+@query
+def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    found = token_alignment.align_tokens(table(spark, sf, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
