@@ -7,8 +7,8 @@ an A token and a B token end at the same byte; two tokens of a group are linked.
 1. Anchors: places where both an A token and a B token that begin with a space start, so both have just ended: the shared
    end is verified, not assumed. They cut a text into windows of token ids.
 2. Windows of a slice of texts are told apart by hash and compared id by id with the one they are taken for.
-   Each different one is looked up by its tuples of ids in a memo, and aligned if it is new. The memo is emptied beyond MEMO entries;
-   windows of over LONG tokens are aligned each time.
+   Each different one is looked up by its tuples of ids in a memo that lasts as long as the Python worker; the new ones of
+   a slice are aligned together. The memo is emptied beyond MEMO entries; windows of over LONG tokens are aligned each time.
 3. A block of texts has a dictionary of the id pairs linked in it, with the number of its documents that hold
    each, and per document the pairs by their place in the dictionary. Spark sums dictionaries by pair, takes
    the highest count per A id, and returns both to the blocks that hold the pair.
@@ -119,58 +119,144 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-class Aligned:
-    """The groups of one window: as text, how many, links, and the linked id pairs with their occurrences."""
-
-    __slots__ = ("text", "groups", "links", "codes", "times")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        cuts, i, j, x, y = [], 0, 0, size_a[0], size_b[0]
-        while True:
-            if x == y:
-                cuts.append((i + 1, j + 1))
-                if i + 1 == len(a):
-                    break
-                i, j = i + 1, j + 1
-                x, y = x + size_a[i], y + size_b[j]
-            elif x < y:
-                i += 1
-                x += size_a[i]
-            else:
-                j += 1
-                y += size_b[j]
-        shown, self.links, codes = [], 0, []
-        i = j = 0
-        for i_end, j_end in cuts:
-            own, other = a[i:i_end], b[j:j_end]
-            shown.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-            self.links += len(own) * len(other)
-            if len(own) * len(other) <= LONG:
-                codes += [((p << 32) + q, 1) for p in own for q in other]
-            else:  # a long group: each different pair once
-                (p, m), (q, n) = (np.unique(v, return_counts=True) for v in (own, other))
-                codes += zip(((p[:, None] << 32) + q[None, :]).ravel().tolist(), (m[:, None] * n[None, :]).ravel().tolist(), strict=True)
-            i, j = i_end, j_end
-        self.text, self.groups = ";".join(shown).encode(), len(cuts)
-        found, place = np.unique(np.array([c for c, _ in codes], dtype=np.int64), return_inverse=True)
-        self.codes = found
-        self.times = np.bincount(place, weights=[n for _, n in codes], minlength=len(found)).astype(np.int64)
-
-
-_memo: dict[tuple, Aligned] = {}
-
-
-def _aligned(a: np.ndarray, b: np.ndarray, vocab_a: Vocabulary, vocab_b: Vocabulary, which: tuple) -> Aligned:
-    own, other = a.tolist(), b.tolist()
-    if len(own) + len(other) > LONG:
-        return Aligned(own, other, vocab_a.size[a].tolist(), vocab_b.size[b].tolist())
-    key = (which, tuple(own), tuple(other))
-    found = _memo.get(key)
-    if found is None:
-        if len(_memo) >= MEMO:
-            _memo.clear()
-        found = _memo[key] = Aligned(own, other, vocab_a.size[a].tolist(), vocab_b.size[b].tolist())
-    return found
+class _Store:
+    """Rows of different length, end to end, that grow."""
+
+    def __init__(self, kind: type):
+        self.data, self.at = np.zeros(1 << 10, dtype=kind), np.zeros(1 << 10, dtype=np.int64)
+        self.rows = self.end = 0
+
+    def add(self, data: np.ndarray, sizes: np.ndarray) -> None:
+        ends = self.end + np.cumsum(sizes)
+        while len(self.data) < self.end + len(data):
+            self.data = np.concatenate([self.data, np.zeros_like(self.data)])
+        while len(self.at) <= self.rows + len(sizes):
+            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
+        self.data[self.end:self.end + len(data)] = data
+        self.at[self.rows + 1:self.rows + 1 + len(sizes)] = ends
+        self.rows, self.end = self.rows + len(sizes), self.end + len(data)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The data of some rows end to end, and their sizes."""
+        sizes = self.at[rows + 1] - self.at[rows]
+        ends = np.cumsum(sizes)
+        return self.data[np.arange(ends[-1] if len(rows) else 0) + np.repeat(self.at[rows] - ends + sizes, sizes)], sizes
+
+
+class Memo:
+    """Alignments of windows by their id tuples: text of the groups (`;` after each), groups, links, linked pairs and how often."""
+
+    def __init__(self, vocab_a: Vocabulary, vocab_b: Vocabulary):
+        self.vocab_a, self.vocab_b = vocab_a, vocab_b
+        most = max(len(vocab_a.size), len(vocab_b.size))
+        self.decimal = Vocabulary([str(i).encode() for i in range(most)])
+        self.clear()
+
+    def clear(self) -> None:
+        #: hashes in order and the entry of each; the ids of every entry tell whether it is the one
+        self.hashes, self.entry = np.zeros(0, U64), np.zeros(0, np.int64)
+        self.a, self.b = _Store(np.int64), _Store(np.int64)
+        self.text, self.codes, self.times = _Store(np.uint8), _Store(np.int64), _Store(np.int64)
+        self.groups, self.links = _Store(np.int64), _Store(np.int64)
+
+    def entries(self, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray,
+                b1: np.ndarray) -> np.ndarray:
+        """The entry of each window; windows that are not known yet are aligned together."""
+        if self.text.rows >= MEMO or self.text.end >= MEMO * LONG * 8:
+            self.clear()
+        out = np.full(len(hashes), -1, dtype=np.int64)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            hit = np.flatnonzero(self.hashes[at] == hashes)
+            entry = self.entry[at[hit]]
+            same = _equal(self.a, entry, a, a0[hit], a1[hit]) & _equal(self.b, entry, b, b0[hit], b1[hit])
+            out[hit[same]] = entry[same]
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            out[new] = self.text.rows + np.arange(len(new))
+            (ids_a, first_a), (ids_b, first_b) = _picked(a, a0[new], a1[new]), _picked(b, b0[new], b1[new])
+            self._align(ids_a, first_a, ids_b, first_b)
+            size_a, size_b = (a1 - a0)[new], (b1 - b0)[new]
+            kept = size_a + size_b <= LONG
+            for store, ids, sizes in ((self.a, ids_a, size_a), (self.b, ids_b, size_b)):
+                store.add(ids[np.repeat(kept, sizes)], np.where(kept, sizes, 0))
+            # of equal hashes the first stays
+            self.hashes, one = np.unique(np.concatenate([self.hashes, hashes[new[kept]]]), return_index=True)
+            self.entry = np.concatenate([self.entry, out[new[kept]]])[one]
+        return out
+
+    def _align(self, a: np.ndarray, first_a: np.ndarray, b: np.ndarray, first_b: np.ndarray) -> None:
+        """Add the alignments of these windows, whose tokens lie end to end."""
+        ends_a, ends_b = np.cumsum(self.vocab_a.size[a]), np.cumsum(self.vocab_b.size[b])
+        shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        n_a, n_b = np.bincount(group_a, minlength=len(shared)), np.bincount(group_b, minlength=len(shared))
+        start_a, start_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+        first_group = group_a[first_a]
+        self.groups.add(np.diff(np.append(first_group, len(shared))), np.ones(len(first_a), np.int64))
+        links = n_a * n_b
+        self.links.add(np.add.reduceat(links, first_group), np.ones(len(first_a), np.int64))
+        self._text(a, b, group_a, group_b, n_a, n_b, start_a, start_b, first_group)
+        # pairs: all of a group, or where it is long each different one once
+        window = np.repeat(np.arange(len(first_a)), np.diff(np.append(first_group, len(shared))))
+        short = links <= LONG * LONG
+        each = np.where(short, links, 0)
+        place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        wide = np.repeat(n_b, each)
+        codes = (a[np.repeat(start_a, each) + place // wide] << 32) + b[np.repeat(start_b, each) + place % wide]
+        owner, times = np.repeat(window, each), np.ones(len(codes), np.int64)
+        for g in np.flatnonzero(~short).tolist():
+            (p, m), (q, n) = (np.unique(x[s:s + size], return_counts=True) for x, s, size in ((a, start_a[g], n_a[g]), (b, start_b[g], n_b[g])))
+            codes = np.concatenate([codes, ((p[:, None] << 32) + q[None, :]).ravel()])
+            times = np.concatenate([times, (m[:, None] * n[None, :]).ravel()])
+            owner = np.concatenate([owner, np.full(len(p) * len(q), window[g])])
+        by = np.lexsort((codes, owner))
+        codes, owner, times = codes[by], owner[by], times[by]
+        new = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (owner[1:] != owner[:-1])))
+        sizes = np.bincount(owner[new], minlength=len(first_a))
+        self.codes.add(codes[new], sizes)
+        self.times.add(np.add.reduceat(times, new), sizes)
+
+    def _text(self, a: np.ndarray, b: np.ndarray, group_a: np.ndarray, group_b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
+              start_a: np.ndarray, start_b: np.ndarray, first_group: np.ndarray) -> None:
+        """Ids in the order of the groups, A before B, each followed by its separator."""
+        place_a = np.arange(len(a)) + start_b[group_a]
+        place_b = np.arange(len(b)) + (start_a + n_a)[group_b]
+        ids, after = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[place_a], ids[place_b] = a, b
+        last_a = start_a + n_a - 1 + start_b
+        after[last_a], after[last_a + n_b] = ord("|"), ord(";")
+        sizes = self.decimal.size[ids]
+        ends = np.cumsum(sizes + 1)
+        out = np.empty(int(ends[-1]), np.uint8)
+        out[ends - 1] = after
+        digits = np.ones(len(out), dtype=bool)
+        digits[ends - 1] = False
+        out[digits] = self.decimal.spelled(ids)
+        self.text.add(out, np.add.reduceat(sizes + 1, (start_a + start_b)[first_group]))
+
+
+def _equal(store: _Store, entry: np.ndarray, ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether each window's ids are those of the entry it may be."""
+    size = end - start
+    same = store.at[entry + 1] - store.at[entry] == size
+    rows = np.flatnonzero(same)
+    held, _ = store.take(entry[rows])
+    picked, _ = _picked(ids, start[rows], end[rows])
+    same[np.repeat(rows, size[rows])[held != picked]] = False
+    return same
+
+
+def _picked(ids: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some windows end to end, and where each begins."""
+    size = end - start
+    first = np.cumsum(size) - size
+    return ids[np.repeat(start - first, size) + np.arange(size.sum())], first
+
+
+@cache
+def memo(path_a: str, path_b: str) -> Memo:
+    return Memo(byte_level(path_a), pieces(path_b))
 
 
 def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -195,8 +281,8 @@ def _spells(ids: np.ndarray, at: np.ndarray, vocab: Vocabulary, data: np.ndarray
     return good
 
 
-def _different(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One window of each different kind, and the kind of every window; kinds are equal id by id."""
+def _different(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0: np.ndarray, b1: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One window of each different kind, its hash, and the kind of every window; kinds are equal id by id."""
     h = mix(span_hashes(a, a0, a1, 0) + span_hashes(b, b0, b1, 1) * U64(MULTIPLIERS[0]))
     _, first, kind = np.unique(h, return_index=True, return_inverse=True)
     rep = first[kind]
@@ -208,10 +294,11 @@ def _different(a: np.ndarray, b: np.ndarray, a0: np.ndarray, a1: np.ndarray, b0:
             row = np.repeat(np.arange(len(size)), size)
             same[row[ids[start[row] + place] != ids[start[rep[row]] + place]]] = False
     if same.all():
-        return first, kind
+        return first, h[first], kind
     seen: dict[tuple, int] = {}  # two different windows of one hash
     kind = np.array([seen.setdefault((a[s:e].tobytes(), b[u:v].tobytes()), len(seen)) for s, e, u, v in zip(a0, a1, b0, b1, strict=True)])
-    return np.unique(kind, return_index=True)[1], kind
+    first = np.unique(kind, return_index=True)[1]
+    return first, h[first], kind
 
 
 class Slice:
@@ -235,32 +322,28 @@ class Slice:
         a0, b0 = np.searchsorted(start_a, anchors), np.searchsorted(start_b, anchors)
         a1, b1 = np.append(a0[1:], len(a)), np.append(b0[1:], len(b))
         row = full[np.searchsorted(first, anchors, side="right") - 1]
-        one, kind = _different(a, b, a0, a1, b0, b1) if len(anchors) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-        found = [_aligned(a[a0[w]:a1[w]], b[b0[w]:b1[w]], vocab_a, vocab_b, (path_a, path_b)) for w in one]
+        one, hashes, kind = _different(a, b, a0, a1, b0, b1)
+        store = memo(path_a, path_b)
+        entry = store.entries(hashes, a, b, a0[one], a1[one], b0[one], b1[one])
         self.n_groups, self.n_links = (
-            np.bincount(row, weights=np.array([getattr(f, what) for f in found], dtype=float)[kind], minlength=n).astype(np.int64)
-            for what in ("groups", "links"))
-        shown = [f.text for f in found]
-        begin = np.searchsorted(row, np.arange(n + 1))
-        self.groups = []
-        for r in range(n):
-            whole = b";".join([shown[k] for k in kind[begin[r]:begin[r + 1]].tolist()])
-            self.groups.append((hashlib.sha256(whole).hexdigest() if whole else "") if digest else whole.decode())
-        self._pairs(found, kind, row, n)
-
-    def _pairs(self, found: list[Aligned], kind: np.ndarray, row: np.ndarray, n: int) -> None:
-        sizes = np.array([len(f.codes) for f in found], dtype=np.int64)
+            np.bincount(row, weights=x.data[entry[kind]].astype(float), minlength=n).astype(np.int64) for x in (store.groups, store.links))
+        shown, sizes = store.text.take(entry[kind])
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.searchsorted(row, np.arange(n + 1))].tolist()
+        whole = [shown[s:e - 1].tobytes() if e > s else b"" for s, e in zip(ends, ends[1:])]
+        self.groups = [(hashlib.sha256(x).hexdigest() if x else "") if digest else x.decode() for x in whole]
+        self._pairs(store, entry, kind, row, n)
+
+    def _pairs(self, store: Memo, entry: np.ndarray, kind: np.ndarray, row: np.ndarray, n: int) -> None:
+        (codes, sizes), (times, _) = store.codes.take(entry), store.times.take(entry)
         at = np.cumsum(sizes) - sizes
-        codes = np.concatenate([f.codes for f in found]) if found else np.zeros(0, np.int64)
-        times = np.concatenate([f.times for f in found]) if found else np.zeros(0, np.int64)
         self.codes, place = np.unique(codes, return_inverse=True)
-        of_row, count = np.unique(row * max(1, len(found)) + kind, return_counts=True)
-        r, k = of_row // max(1, len(found)), of_row % max(1, len(found))
+        of_row, count = np.unique(row * max(1, len(entry)) + kind, return_counts=True)
+        r, k = of_row // max(1, len(entry)), of_row % max(1, len(entry))
         size = sizes[k]
-        entry = np.repeat(at[k] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        key = np.repeat(r, size) * max(1, len(self.codes)) + place[entry]
+        each = np.repeat(at[k] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        key = np.repeat(r, size) * max(1, len(self.codes)) + place[each]
         own, back = np.unique(key, return_inverse=True)
-        self.times = np.bincount(back, weights=(times[entry] * np.repeat(count, size)).astype(float), minlength=len(own)).astype(np.int64)
+        self.times = np.bincount(back, weights=(times[each] * np.repeat(count, size)).astype(float), minlength=len(own)).astype(np.int64)
         self.places = own % max(1, len(self.codes))
         self.sizes = np.bincount(own // max(1, len(self.codes)), minlength=n)
 

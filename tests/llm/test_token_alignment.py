@@ -94,21 +94,27 @@ def test_both_libraries_give_the_ids_of_the_byte_level_vocabulary():
 
 def test_windows_are_aligned_once_and_never_mixed_up(monkeypatch):
     made = []
-    plain = token_alignment.Aligned
+    plain = token_alignment.Memo._align
 
-    class Seen(plain):
-        __slots__ = ()
+    def seen(self, a, first_a, b, first_b):
+        made.extend(tuple(x.tolist()) for x in np.split(a, first_a[1:]))
+        plain(self, a, first_a, b, first_b)
 
-        def __init__(self, a, b, *sizes):
-            made.append((tuple(a), tuple(b)))
-            super().__init__(a, b, *sizes)
-
-    monkeypatch.setattr(token_alignment, "Aligned", Seen)
-    monkeypatch.setattr(token_alignment, "_memo", {})
+    monkeypatch.setattr(token_alignment.Memo, "_align", seen)
+    fresh = token_alignment.Memo(token_alignment.byte_level(token_alignment.BYTE_LEVEL), token_alignment.pieces(token_alignment.PIECES))
+    monkeypatch.setattr(token_alignment, "memo", lambda *_: fresh)
     texts = pa.array(["the cat sat", "the cat sat on the cat", "a cat"])
     first = token_alignment.Slice(texts, token_alignment.BYTE_LEVEL, token_alignment.PIECES, False)
     assert len(made) == len(set(made)) == 5  # the, cat, sat, on, a
+    assert token_alignment.Slice(texts, token_alignment.BYTE_LEVEL, token_alignment.PIECES, False).groups == first.groups and len(made) == 5
     # one hash for all windows: told apart by their ids
     monkeypatch.setattr(token_alignment, "mix", lambda x: x * 0)
     again = token_alignment.Slice(texts, token_alignment.BYTE_LEVEL, token_alignment.PIECES, False)
-    assert again.groups == first.groups and len(made) == 5
+    assert again.groups == first.groups
+    # an emptied memo gives the same
+    made.clear()
+    monkeypatch.undo()
+    monkeypatch.setattr(token_alignment.Memo, "_align", seen)
+    monkeypatch.setattr(token_alignment, "memo", lambda *_: fresh)
+    monkeypatch.setattr(token_alignment, "MEMO", 1)
+    assert token_alignment.Slice(texts, token_alignment.BYTE_LEVEL, token_alignment.PIECES, False).groups == first.groups and len(made) == 5
