@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.llm import (
-    best_fit, chat_format, decontaminate, exact_top_k, html_text, language_id, line_dedup, lm_score, near_dedup,
+    best_fit, chat_format, decontaminate, exact_top_k, html_text, jaccard_join, language_id, line_dedup, lm_score, near_dedup,
     subvector_clusters, substring_dedup, token_alignment,
 )
 from clickloom.llm.frames import in_fold
@@ -219,3 +219,46 @@ ORACLE["op12_centroid_clusters"] = _clusters_sql(40, 5)
 def op13_token_alignment(spark: SparkSession, sf: str) -> DataFrame:
     found = token_alignment.align_tokens(table(spark, sf, "documents"), digest=True)
     return found.withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf, "documents")).select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
+ORACLE["op11_jaccard_join"] = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+    SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({_LOWER}, '[^ \t-\r]+') AS w FROM documents
+), shingles AS MATERIALIZED (
+    SELECT DISTINCT rid, unnest(CASE WHEN len(w) < 5 THEN [w]
+        ELSE list_transform(range(1, len(w) - 3), lambda x: list_slice(w, x, x + 4)) END) AS s
+    FROM d WHERE len(w) > 0
+), sizes AS MATERIALIZED (
+    SELECT rid, count(*) AS n FROM shingles GROUP BY rid
+), keyed AS MATERIALIZED (
+    SELECT rid, n, md5(string_agg(md5(array_to_string(s, ' ')), '' ORDER BY md5(array_to_string(s, ' ')))) AS k
+    FROM shingles JOIN sizes USING (rid) GROUP BY rid, n
+), sets AS MATERIALIZED (
+    SELECT n, k, min(rid) AS one FROM keyed GROUP BY n, k
+), member AS MATERIALIZED (
+    SELECT keyed.rid, sets.one FROM keyed JOIN sets USING (n, k)
+), few AS MATERIALIZED (
+    SELECT rid, n, hash(s) AS h, s FROM shingles JOIN sizes USING (rid) WHERE rid IN (SELECT one FROM sets)
+), links AS MATERIALIZED (
+    SELECT a.rid AS a, b.rid AS b FROM few a JOIN few b ON a.h = b.h AND a.s = b.s AND a.rid <> b.rid
+        AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT one AS rid, one AS root FROM sets
+    UNION
+    SELECT links.b AS rid, reach.root FROM reach JOIN links ON links.a = reach.rid
+), roots AS (
+    SELECT rid, min(root) AS root FROM reach GROUP BY rid
+), component AS (
+    SELECT root, min(d.doc_id) AS component_id FROM member m JOIN roots ON roots.rid = m.one JOIN d ON d.rid = m.rid GROUP BY root
+)
+SELECT d.doc_id, coalesce(sizes.n, 0) AS n_shingles,
+       CASE WHEN m.rid IS NULL THEN d.doc_id ELSE c.component_id END AS component_id
+FROM d LEFT JOIN sizes ON sizes.rid = d.rid LEFT JOIN member m ON m.rid = d.rid LEFT JOIN roots ON roots.rid = m.one
+LEFT JOIN component c ON c.root = roots.root
+"""
