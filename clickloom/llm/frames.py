@@ -7,9 +7,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.sources.scratch import stage
+from clickloom.sources.scratch import drop_staged, stage
 
-__all__ = ["fresh", "stage", "text_or_empty", "in_fold"]
+__all__ = ["drop_staged", "fresh", "stage", "text_or_empty", "in_fold"]
 
 
 def fresh(taken: Iterable[str], name: str) -> str:

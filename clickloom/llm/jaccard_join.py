@@ -14,13 +14,15 @@ s and t share o(s, t) = ceil(p (s + t) / (100 + p)) elements. Equal sets are one
    each subset's group linking all to the smallest set unites whatever is linked: o grows with both sizes.
 4. Heavy: sets beyond the boundary, and those just below that may link with them, stand in the inverted lists of their s - ceil(p s) + 1
    rarest elements. In each list all are first paired with one member, where sizes and places allow a link; these pairs are verified
-   exactly.
-5. Lists that still hold several components are scanned in blocks inside tasks: members of different components that could
-   reach o by size, by position, and by a bitmap of their elements (exact bounds) are verified there. The largest component of a list
-   is never compared with itself, so one foreign member costs one pass. Links that unite components alone come out.
+   exactly and linked contents united.
+5. Lists that still hold several components are scanned. Those of SHORT members at most count, for members of different
+   components, in how many lists they meet; o - ceil(p max(s, t)) + 1 common elements stand in the lists of both, so pairs that
+   meet less often go, the others are verified exactly. Pairs of the longer lists stay inside tasks, block by block:
+   those that could reach o by size, by place and by a bitmap of their elements (exact bounds) are verified there, and links that unite
+   components alone come out. The largest component of a list is never compared with itself, so one foreign member costs one pass.
 
-No pair is lost by the length of a list and all pairs of a list are never written out. Elements are told apart by 64 bit
-hashes, subsets by sums of hashes. The cells (4 MB) and a bitmap that thins shuffles (16 MB) have fixed size; nothing else is broadcast.
+No pair is lost by the length of a list. Elements are told apart by 64 bit hashes, subsets by sums of hashes. The count of elements
+(4 MB) and the bitmaps that thin shuffles (16 MB each) have fixed size; nothing else is broadcast.
 
 Edge cases: null, empty and white texts have empty sets, no links and themselves as component; rows that repeat a doc_id
 are documents of their own; a null doc_id counts as larger than any other in naming a component; ties do not arise; an empty table has
@@ -41,8 +43,8 @@ from pyspark.sql import functions as F
 from clickloom.llm.bytework import MULTIPLIERS, U64, grams, lower_ascii, mix, runs, slices, span_hashes, text_buffer
 from clickloom.llm.components import components
 from clickloom.llm.filters import bitmap_of, in_bitmap
-from clickloom.llm.frames import stage
-from clickloom.llm.grouping import grouped
+from clickloom.llm.frames import drop_staged, stage
+from clickloom.llm.grouping import grouped, whole_groups
 
 SHINGLE, PERCENT = 5, 80
 #: Largest set whose subsets are ever considered.
@@ -51,6 +53,10 @@ MOST_SMALL = 24
 CELLS, CELL_BLOCK = 1 << 20, 1024
 #: Bits of the bitmap that bounds how much two sets can share.
 SKETCH_BITS = 1024
+#: Members of a list whose meetings are counted pair by pair.
+SHORT = 32
+#: Bits of the bitmap of elements that may be in several lists, in blocks for adding up.
+REPEAT_BITS, REPEAT_BLOCK = 1 << 27, 1 << 15
 #: Elements of the members compared at once.
 BLOCK_ELEMENTS = 1 << 19
 
@@ -216,7 +222,7 @@ def subset_links(small: DataFrame, limit: int, percent: int) -> DataFrame:
                     for start in range(0, len(rows), step):
                         some = slice(start, start + step)
                         keys = total[some, None] - hashed[some][:, gone].sum(axis=2, dtype=U64)
-                        keys = mix(keys + U64(c) * _SALT).view(np.int64)
+                        keys = mix(keys + mix(np.array([c], dtype=U64))).view(np.int64)
                         n = keys.size
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(keys.ravel()), pa.array(np.full(n, c)), pa.array(np.full(n, s)),
@@ -376,28 +382,104 @@ def links_apart(apart: DataFrame, sets: DataFrame, percent: int, limit: int) ->
     return shipped.mapInArrow(work, "a long, b long")
 
 
+def _repeat_cell(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements + _SALT) & U64(REPEAT_BITS - 1)).astype(np.uint32)
+
+
+def repeated(rare: DataFrame) -> np.ndarray:
+    """A bitmap of the cells that several of the listed elements fall in: all elements of several lists, and some others."""
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [_repeat_cell(b.column("rare").flatten().to_numpy().view(U64)) for b in batches if b.num_rows]
+        if found:
+            cell = np.sort(np.concatenate(found))
+            block, first = np.unique(cell // REPEAT_BLOCK, return_index=True)
+            parts = np.split((cell % REPEAT_BLOCK).astype(np.uint16), first[1:])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(block.astype(np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["block", "cells"])
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, counts = None, np.zeros(REPEAT_BLOCK, np.int64)
+
+        def row() -> pa.RecordBatch:
+            bits = np.packbits(counts > 1, bitorder="little").tobytes()
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits], pa.binary())], names=["block", "bits"])
+
+        for batch in batches:
+            for mine, some in zip(batch.column("block").to_pylist(), batch.column("cells"), strict=True):
+                if mine != block:
+                    if block is not None:
+                        yield row()
+                    block, counts = mine, np.zeros(REPEAT_BLOCK, np.int64)
+                counts = counts + np.bincount(np.frombuffer(some.as_buffer(), np.uint16), minlength=REPEAT_BLOCK)
+        if block is not None:
+            yield row()
+
+    out = np.zeros((REPEAT_BITS // REPEAT_BLOCK, REPEAT_BLOCK // 8), np.uint8)
+    blocks = rare.select("rare").mapInArrow(cells, "block int, cells binary").repartition("block").sortWithinPartitions("block")
+    for r in blocks.mapInArrow(marked, "block int, bits binary").collect():
+        out[r["block"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out.ravel()
+
+
 def _listed(rare: DataFrame, percent: int) -> DataFrame:
-    """(element, content, size, place, index, c_content, c_size, c_place, c_index): the entries of lists with several contents.
+    """(element, content, size, place, index, n, c_content, c_size, c_place, c_index): the entries of lists with several contents.
 
     ``index``: an element among the first s - o(s, s) + 1; of two sets that link, the smaller has one of the common ones there.
+    ``n``: members of the list; ``c_``: its first content.
     """
-    entries = rare.select("content", "size", F.posexplode("rare").alias("place", "element"))
-    entries = entries.withColumn("index", F.col("place") <= F.col("size") - _needed(F.col("size"), F.col("size"), percent))
-    lists = entries.groupBy("element").agg(
-        F.min("content").alias("least"), F.max("content").alias("most"), F.max("index").alias("any"),
-        F.min(F.struct("content", "size", "place", "index")).alias("c")).filter("least < most and any").select("element", "c")
-    lists = stage(lists, "lists")
-    shared = rare.sparkSession.sparkContext.broadcast(bitmap_of(lists, F.col("element")))
+    shared = rare.sparkSession.sparkContext.broadcast(repeated(rare))
 
-    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_bitmap(shared.value, batch.column("element").to_numpy().view(U64))))
+            lists = batch.column("rare")
+            length = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            elements = lists.flatten().to_numpy().view(U64)
+            row = np.repeat(np.arange(len(length)), length)
+            place = np.arange(len(elements)) - np.repeat(np.cumsum(length) - length, length)
+            cell = _repeat_cell(elements)
+            some = np.flatnonzero(shared.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(elements[some].view(np.int64)), batch.column("content").take(pa.array(row[some])),
+                 batch.column("size").take(pa.array(row[some])), pa.array(place[some])], names=["element", "content", "size", "place"])
 
-    entries = entries.mapInArrow(thin, entries.schema).join(lists, "element").dropDuplicates(["element", "content"])
-    return entries.select("element", "content", "size", "place", "index", *(
+    index = F.col("place") <= F.col("size") - _needed(F.col("size"), F.col("size"), percent)
+    entries = stage(rare.mapInArrow(entries, "element long, content long, size long, place long")
+                    .dropDuplicates(["element", "content"]), "entries").withColumn("index", index)
+    lists = entries.groupBy("element").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("content", "size", "place", "index")).alias("c")).filter("n > 1")
+    return entries.join(lists, "element").select("element", "content", "size", "place", "index", "n", *(
         F.col(f"c.{x}").alias(f"c_{x}") for x in ("content", "size", "place", "index")))
 
 
+def met_pairs(short: DataFrame, held: DataFrame, percent: int, limit: int) -> DataFrame:
+    """(a, b): members of different components that meet often enough in lists to link.
+
+    ``short``: the rows of short lists; ``held``: (content, longs), in how many longer lists a content stands, which count in full.
+    """
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, end in whole_groups(batches, "element"):
+            content, root, size, place = (rows.column(c).to_numpy() for c in ("content", "root", "size", "place"))
+            later = end - np.arange(len(end)) - 1
+            i = np.repeat(np.arange(len(end)), later)
+            j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(later) - later, later)
+            s, t = size[i], size[j]
+            need = -(-percent * (s + t) // (100 + percent))
+            most = np.minimum(place[i], place[j]) + np.minimum(s - place[i], t - place[j])
+            some = (root[i] != root[j]) & (np.minimum(np.minimum(s, t), most) >= need) & (np.maximum(s, t) > limit)
+            least = need - -(-percent * np.maximum(s, t) // 100) + 1
+            i, j, least = i[some], j[some], least[some]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.minimum(content[i], content[j])), pa.array(np.maximum(content[i], content[j])), pa.array(least)],
+                names=["a", "b", "least"])
+
+    rows = short.select("element", "content", "root", "size", "place").repartition("element").sortWithinPartitions("element")
+    pairs = rows.mapInArrow(work, "a long, b long, least long").groupBy("a", "b").agg(
+        F.count(F.lit(1)).alias("met"), F.first("least").alias("least"))
+    longs = [held.select(F.col("content").alias(c), F.col("longs").alias(f"longs_{c}")) for c in ("a", "b")]
+    further = F.least(*(F.coalesce(f"longs_{c}", F.lit(0)) for c in ("a", "b")))
+    return pairs.join(longs[0], "a", "left").join(longs[1], "b", "left").filter(F.col("met") + further >= F.col("least")).select("a", "b")
+
+
 def star_pairs(members: DataFrame, percent: int, limit: int) -> DataFrame:
     """(a, b): each member with the first content of its lists, where sizes and places allow a link."""
     s, t = F.col("size"), F.col("c_size")
@@ -427,16 +509,25 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     rare = stage(rare_elements(docs, text, shingle, percent, -(-percent * (limit + 1) // 100), counts), "rare-elements")
     members = stage(_listed(rare, percent), "members")
+    drop_staged(rare)
     star = stage(star_pairs(members, percent, limit), "star-pairs")
     in_star = star.select(F.col("a").alias("content")).unionByName(star.select(F.col("b").alias("content")))
     sets = _sets_of(docs, text, shingle, in_star)
     links = stage(light.unionByName(verified(star, sets, percent)), "links")
     roots = components(links)
 
-    rooted = members.select("element", "content", "size", "place", "index").join(
+    drop_staged(sets)
+    rooted = members.select("element", "content", "size", "place", "index", "n").join(
         roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
-    apart = stage(dealt(rooted), "dealt")
-    more = stage(links_apart(apart, _sets_of(docs, text, shingle, apart.select("content")), percent, limit), "more-links")
+    split = rooted.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("element")
+    rooted = stage(rooted.join(split, "element"), "split-lists")
+    short, long = rooted.filter(F.col("n") <= SHORT), rooted.filter(F.col("n") > SHORT)
+    held = stage(long.groupBy("content").agg(F.count(F.lit(1)).alias("longs")), "long-lists")
+    pairs = stage(met_pairs(short, held, percent, limit), "met-pairs")
+    in_pairs = pairs.select(F.col("a").alias("content")).unionByName(pairs.select(F.col("b").alias("content")))
+    wanted = in_pairs.unionByName(held.select("content"))
+    sets = _sets_of(docs, text, shingle, wanted)
+    more = stage(verified(pairs, sets, percent).unionByName(links_apart(dealt(long), sets, percent, limit)), "more-links")
     roots = components(links.unionByName(more))
 
     named = contents.select("content", "least").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickloom.llm import jaccard_join
-from clickloom.llm.grouping import grouped
+from clickloom.llm.grouping import grouped, whole_groups
 
 
 def plain_sets(docs, shingle):
@@ -132,6 +132,8 @@ def test_groups_of_a_stream():
         ([1, 1, 2], [0, 0, 0], [1, 2, 3]), ([], [], []), ([2, 2, 2], [0, 1, 1], [4, 5, 6]), ([3], [1], [7]))]
     batches = [b if b.num_rows else batches[0].slice(0, 0) for b in batches]
     assert [g.column("v").to_pylist() for g in grouped(iter(batches), ["k", "j"])] == [[1, 2], [3, 4], [5, 6], [7]]
+    whole = [(t.column("v").to_pylist(), e.tolist()) for t, e in whole_groups(iter(batches), "k")]
+    assert whole == [([1, 2], [2, 2]), ([3, 4, 5, 6], [4] * 4), ([7], [1])]
 
 
 def test_sets_are_told_by_their_elements():
