@@ -22,7 +22,7 @@ s and t share o(s, t) = ceil(p (s + t) / (100 + p)) elements. Equal sets are one
    components alone come out. The largest component of a list is never compared with itself, so one foreign member costs one pass.
 
 No pair is lost by the length of a list. Elements are told apart by 64 bit hashes, subsets by sums of hashes. The count of elements
-(4 MB) and the bitmaps that thin shuffles (16 MB each) have fixed size; nothing else is broadcast.
+(16 MB) and the bitmaps that thin shuffles (16 MB each) have fixed size; nothing else is broadcast.
 
 Edge cases: null, empty and white texts have empty sets, no links and themselves as component; rows that repeat a doc_id
 are documents of their own; a null doc_id counts as larger than any other in naming a component; ties do not arise; an empty table has
@@ -50,7 +50,9 @@ SHINGLE, PERCENT = 5, 80
 #: Largest set whose subsets are ever considered.
 MOST_SMALL = 24
 #: Cells of the element count, in blocks for adding up.
-CELLS, CELL_BLOCK = 1 << 20, 1024
+CELLS, CELL_BLOCK = 1 << 22, 4096
+#: An element counted more often than this may have a list too long for one task.
+HOT = 1_000_000
 #: Bits of the bitmap that bounds how much two sets can share.
 SKETCH_BITS = 1024
 #: Members of a list whose meetings are counted pair by pair.
@@ -122,6 +124,16 @@ def _cell(elements: np.ndarray) -> np.ndarray:
     return (mix(elements ^ _SALT) & U64(CELLS - 1)).astype(np.int64)
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """A block of counts in as few bytes each as hold the largest; the length tells how many."""
+    most = counts.max()
+    return counts.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32).tobytes()
+
+
+def _widened(packed: bytes) -> np.ndarray:
+    return np.frombuffer(packed, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(packed) // CELL_BLOCK]).astype(np.int64)
+
+
 _FACTS = "doc long, content long, size long, small array<long>, cells int, counts binary"
 _FACTS_ARROW = pa.schema([("doc", pa.int64()), ("content", pa.int64()), ("size", pa.int64()), ("small", pa.list_(pa.int64())),
                           ("cells", pa.int32()), ("counts", pa.binary())])
@@ -143,7 +155,7 @@ def facts(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
                 part.column("doc"), pa.array(sets.content.view(np.int64), mask=sets.size == 0), pa.array(sets.size), small,
                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=_FACTS_ARROW)
         if counts.any():
-            packed = [c.tobytes() for c in np.minimum(counts, (1 << 32) - 1).astype(np.uint32).reshape(-1, CELL_BLOCK)]
+            packed = [_narrow(c) for c in np.minimum(counts, (1 << 32) - 1).reshape(-1, CELL_BLOCK)]
             n = len(packed)
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64())),
@@ -159,15 +171,14 @@ def element_counts(found: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for cells, counts in zip(batch.column("cells").to_pylist(), batch.column("counts"), strict=True):
-                more = np.frombuffer(counts.as_buffer(), np.uint32)
-                sums[cells] = sums.get(cells, 0) + more.astype(np.int64)
+                sums[cells] = sums.get(cells, 0) + _widened(counts.as_py())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["cells", "counts"])
+            [pa.array(list(sums), pa.int32()), pa.array([_narrow(np.minimum(v, (1 << 32) - 1)) for v in sums.values()], pa.binary())], names=["cells", "counts"])
 
     out = np.zeros((CELLS // CELL_BLOCK, CELL_BLOCK), dtype=np.int64)
     for r in found.filter("cells is not null").select("cells", "counts").repartition("cells").mapInArrow(
             work, "cells int, counts binary").collect():
-        out[r["cells"]] += np.frombuffer(bytes(r["counts"]), np.int64)
+        out[r["cells"]] += _widened(bytes(r["counts"]))
     return np.minimum(out.ravel(), (1 << 32) - 1).astype(np.uint32)
 
 
@@ -236,7 +247,7 @@ def subset_links(small: DataFrame, limit: int, percent: int) -> DataFrame:
 
 
 def rare_elements(docs: DataFrame, text: str, shingle: int, percent: int, least: int, counts: np.ndarray) -> DataFrame:
-    """(content, size, rare) of the sets of ``least`` elements and more: the rarest elements, in order."""
+    """(content, size, rare, hot, bits) of the sets of ``least`` elements and more: the rarest elements in order, which of them are hot, the bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,20 +257,33 @@ def rare_elements(docs: DataFrame, text: str, shingle: int, percent: int, least:
             if not len(rows):
                 continue
             elements, at = sets.of(rows)
+            bits = _bits(elements, at)
             row = np.repeat(np.arange(len(rows)), np.diff(at))
-            elements = elements[np.lexsort((elements, shared.value[_cell(elements)], row))]
+            held = shared.value[_cell(elements)]
+            by = np.lexsort((elements, held, row))
+            elements, held = elements[by], held[by]
             place = np.arange(len(elements)) - at[row]
             p = prefix_length(sets.size[rows], percent)
-            rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(p)]), pa.int32()),
-                                            pa.array(elements[place < p[row]].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([pa.array(sets.content[rows].view(np.int64)), pa.array(sets.size[rows]), rare],
-                                             names=["content", "size", "rare"])
+            some, ends = place < p[row], pa.array(np.concatenate([[0], np.cumsum(p)]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(sets.content[rows].view(np.int64)), pa.array(sets.size[rows]),
+                 pa.ListArray.from_arrays(ends, pa.array(elements[some].view(np.int64))),
+                 pa.ListArray.from_arrays(ends, pa.array(held[some] > HOT)), bits], names=["content", "size", "rare", "hot", "bits"])
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(work, "content long, size long, rare array<long>")
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(
+        work, "content long, size long, rare array<long>, hot array<boolean>, bits binary")
+
+
+def _bits(elements: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A bitmap of each row's elements: a bit is set if an odd number of them falls on it, so two rows differ in as many elements at least."""
+    n = len(at) - 1
+    bit = (mix(elements) % U64(SKETCH_BITS)).astype(np.int64)
+    odd = np.bincount(np.repeat(np.arange(n), np.diff(at)) * SKETCH_BITS + bit, minlength=n * SKETCH_BITS) & 1
+    return pa.array([b.tobytes() for b in np.packbits(odd.reshape(n, SKETCH_BITS).astype(np.uint8), axis=1)], pa.binary())
 
 
 def whole_sets(docs: DataFrame, text: str, shingle: int, bitmap: np.ndarray) -> DataFrame:
-    """(content, elements, bits) of the contents in the bitmap, and of some others."""
+    """(content, elements) of the contents in the bitmap, and of some others."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,21 +293,32 @@ def whole_sets(docs: DataFrame, text: str, shingle: int, bitmap: np.ndarray) ->
             if not len(rows):
                 continue
             elements, at = sets.of(rows)
-            bit = (mix(elements) % U64(SKETCH_BITS)).astype(np.int64)
-            odd = np.bincount(np.repeat(np.arange(len(rows)), np.diff(at)) * SKETCH_BITS + bit, minlength=len(rows) * SKETCH_BITS) & 1
-            packed = np.packbits(odd.reshape(len(rows), SKETCH_BITS).astype(np.uint8), axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(sets.content[rows].view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(elements.view(np.int64))),
-                 pa.array([b.tobytes() for b in packed], pa.binary())], names=["content", "elements", "bits"])
+                 pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(elements.view(np.int64)))], names=["content", "elements"])
 
-    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(work, "content long, elements array<long>, bits binary")
+    return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(work, "content long, elements array<long>")
 
 
-def _sets_of(docs: DataFrame, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
-    """The sets of the contents in a table, each once."""
-    found = whole_sets(docs, text, shingle, bitmap_of(wanted, F.col("content")))
-    return stage(found.join(wanted.distinct(), "content", "left_semi").dropDuplicates(["content"]), "whole-sets")
+def sets_of(docs: DataFrame, text: str, shingle: int, wanted: DataFrame) -> DataFrame:
+    """The sets of the contents in a table, each once, dealt by content; joins on it find them where they lie."""
+    return whole_sets(docs, text, shingle, bitmap_of(wanted, F.col("content"))).repartition("content").dropDuplicates(["content"])
+
+
+def likely(pairs: DataFrame, rare: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) pairs whose sizes and bitmaps allow a link."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = batch.column("s").to_numpy(), batch.column("t").to_numpy()
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(len(s), -1) for c in ("x", "y"))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            need = -(-percent * (s + t) // (100 + percent))
+            yield batch.filter(pa.array((s + t - differ) // 2 >= need)).select(["a", "b"])
+
+    bits = rare.select("content", "size", "bits").dropDuplicates(["content"])
+    x = bits.select(F.col("content").alias("a"), F.col("size").alias("s"), F.col("bits").alias("x"))
+    y = bits.select(F.col("content").alias("b"), F.col("size").alias("t"), F.col("bits").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "s", "t", "x", "y").mapInArrow(work, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -368,7 +403,7 @@ def dealt(members: DataFrame) -> DataFrame:
     return whole.select("element", "content", "root", "size", "place", cells).select("element", "cell.*", "content", "root", "size", "place")
 
 
-def links_apart(apart: DataFrame, sets: DataFrame, percent: int, limit: int) -> DataFrame:
+def links_apart(apart: DataFrame, sets: DataFrame, rare: DataFrame, percent: int, limit: int) -> DataFrame:
     """(a, b): verified links between the members dealt to a cell that are in different components."""
     keys = ["element", "kind", "x", "y"]
 
@@ -378,7 +413,8 @@ def links_apart(apart: DataFrame, sets: DataFrame, percent: int, limit: int) ->
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.array(x, dtype=np.int64)) for x in zip(*out, strict=True)], names=["a", "b"])
 
-    shipped = apart.join(sets, "content").repartition(*keys).sortWithinPartitions(*keys)
+    bits = rare.select("content", "bits").dropDuplicates(["content"])
+    shipped = apart.join(bits, "content").join(sets, "content").repartition(*keys).sortWithinPartitions(*keys)
     return shipped.mapInArrow(work, "a long, b long")
 
 
@@ -438,17 +474,30 @@ def _listed(rare: DataFrame, percent: int) -> DataFrame:
             place = np.arange(len(elements)) - np.repeat(np.cumsum(length) - length, length)
             cell = _repeat_cell(elements)
             some = np.flatnonzero(shared.value[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
+            at = (batch.column("size").to_numpy()[row[some]] << 32) + place[some]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(elements[some].view(np.int64)), batch.column("content").take(pa.array(row[some])),
-                 batch.column("size").take(pa.array(row[some])), pa.array(place[some])], names=["element", "content", "size", "place"])
+                [pa.array(elements[some].view(np.int64)), batch.column("content").take(pa.array(row[some])), pa.array(at),
+                 batch.column("hot").flatten().take(pa.array(some))], names=["element", "content", "at", "hot"])
+
+    rows = rare.select("content", "size", "rare", "hot").mapInArrow(entries, "element long, content long, at long, hot boolean")
+    # lists of a size that one task holds: one shuffle by element serves all steps; the others are summed up before theirs
+    tame = rows.filter("not hot").drop("hot").repartition("element").dropDuplicates(["element", "content"])
+    hot = rows.filter("hot").drop("hot").dropDuplicates(["element", "content"])
+    return _with_first(tame, percent).unionByName(_with_first(hot, percent))
+
 
-    index = F.col("place") <= F.col("size") - _needed(F.col("size"), F.col("size"), percent)
-    entries = stage(rare.mapInArrow(entries, "element long, content long, size long, place long")
-                    .dropDuplicates(["element", "content"]), "entries").withColumn("index", index)
-    lists = entries.groupBy("element").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("content", "size", "place", "index")).alias("c")).filter("n > 1")
-    return entries.join(lists, "element").select("element", "content", "size", "place", "index", "n", *(
-        F.col(f"c.{x}").alias(f"c_{x}") for x in ("content", "size", "place", "index")))
+def _with_first(entries: DataFrame, percent: int) -> DataFrame:
+    """Entries of lists with several contents, beside the list's first one and its length."""
+    lists = entries.groupBy("element").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("content", "at")).alias("c")).filter("n > 1")
+
+    def told(content: str, at: str, name: str) -> list[Column]:
+        size, place = F.shiftright(at, 32), F.col(at).bitwiseAND(F.lit((1 << 32) - 1))
+        index = place <= size - _needed(size, size, percent)
+        return [F.col(content).alias(f"{name}content"), size.alias(f"{name}size"), place.alias(f"{name}place"), index.alias(f"{name}index")]
+
+    return entries.join(lists, "element").select(
+        "element", "content", "at", "n", F.col("c.content").alias("first"), F.col("c.at").alias("first_at")).select(
+            "element", "n", *told("content", "at", ""), *told("first", "first_at", "c_"))
 
 
 def met_pairs(short: DataFrame, held: DataFrame, percent: int, limit: int) -> DataFrame:
@@ -509,25 +558,22 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     rare = stage(rare_elements(docs, text, shingle, percent, -(-percent * (limit + 1) // 100), counts), "rare-elements")
     members = stage(_listed(rare, percent), "members")
-    drop_staged(rare)
-    star = stage(star_pairs(members, percent, limit), "star-pairs")
+    star = stage(likely(star_pairs(members, percent, limit), rare, percent), "star-pairs")
     in_star = star.select(F.col("a").alias("content")).unionByName(star.select(F.col("b").alias("content")))
-    sets = _sets_of(docs, text, shingle, in_star)
-    links = stage(light.unionByName(verified(star, sets, percent)), "links")
+    links = stage(light.unionByName(verified(star, sets_of(docs, text, shingle, in_star), percent)), "links")
     roots = components(links)
 
-    drop_staged(sets)
     rooted = members.select("element", "content", "size", "place", "index", "n").join(
         roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     split = rooted.groupBy("element").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("element")
     rooted = stage(rooted.join(split, "element"), "split-lists")
     short, long = rooted.filter(F.col("n") <= SHORT), rooted.filter(F.col("n") > SHORT)
     held = stage(long.groupBy("content").agg(F.count(F.lit(1)).alias("longs")), "long-lists")
-    pairs = stage(met_pairs(short, held, percent, limit), "met-pairs")
+    pairs = stage(likely(met_pairs(short, held, percent, limit), rare, percent), "met-pairs")
     in_pairs = pairs.select(F.col("a").alias("content")).unionByName(pairs.select(F.col("b").alias("content")))
-    wanted = in_pairs.unionByName(held.select("content"))
-    sets = _sets_of(docs, text, shingle, wanted)
-    more = stage(verified(pairs, sets, percent).unionByName(links_apart(dealt(long), sets, percent, limit)), "more-links")
+    sets = sets_of(docs, text, shingle, in_pairs.unionByName(held.select("content")))
+    more = stage(verified(pairs, sets, percent).unionByName(links_apart(dealt(long), sets, rare, percent, limit)), "more-links")
+    drop_staged(rare)
     roots = components(links.unionByName(more))
 
     named = contents.select("content", "least").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(

@@ -81,6 +81,8 @@ def docs():
 @pytest.mark.parametrize("limit", [None, 0, 12])
 def test_components_equal_all_pairs(spark, docs, limit, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK_ELEMENTS", 1500)  # several blocks in the long lists
+    monkeypatch.setattr(jaccard_join, "SHORT", 12)
+    monkeypatch.setattr(jaccard_join, "HOT", 20)
     frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns(
         {c: F.lit("taken") for c in ("doc", "content", "size", "element", "root", "cells")})
     got = jaccard_join.jaccard_components(frame, limit=limit).select("doc", "n_shingles", "component_id").collect()
