@@ -33,7 +33,7 @@ from clickloom.llm.ppm import ContextTrie, GrowingTrie, counted, levels_of, low,
 
 ORDER = 5
 #: Bytes of text in a block, and worked on at once.
-BLOCK_BYTES, SLICE_BYTES = 32 << 20, 2 << 20
+BLOCK_BYTES, SLICE_BYTES = 16 << 20, 1 << 20
 TOKEN, GRAM = 0, 1
 #: The key of the end of a text among the tokens' hashes.
 END_KEY = 0x5DEECE66D
@@ -57,32 +57,60 @@ def text_tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def text_blocks(docs: DataFrame, doc_id: str, text: str, is_training: Column, block_bytes: int) -> DataFrame:
-    """(block, docs, training, sizes, texts): consecutive rows, their texts end to end and compressed."""
+    """(block, docs, training, sizes, texts): consecutive rows; their texts end to end, compressed slice by slice."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", block_bytes):
-            data, at = text_buffer(part.column("text"))
             ident = part.column("ident").to_numpy().view(U64)
             block = mix(np.array([mix(ident).sum() + U64(part.num_rows)], dtype=U64)).view(np.int64)
-            packed = pa.compress(pa.py_buffer(np.ascontiguousarray(data)), codec="zstd", asbytes=True) if len(data) else b""
+            packed = []
+            for piece in slices(iter([part]), "text", SLICE_BYTES):
+                data, at = text_buffer(piece.column("text"))
+                raw = pa.py_buffer(np.ascontiguousarray(data))
+                packed.append((piece.column("doc"), piece.column("training"), np.diff(at),
+                               pa.compress(raw, codec="zstd", asbytes=True) if len(data) else b""))
+            docs, training, sizes, texts = zip(*packed, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(block), pa.array([part.column("doc").to_pylist()], _LONGS),
-                 pa.array([part.column("training").to_pylist()], pa.list_(pa.bool_())), pa.array([np.diff(at)], _LONGS),
-                 pa.array([packed], pa.binary())], names=["block", "docs", "training", "sizes", "texts"])
+                [pa.array(block), pa.array([[d.to_pylist() for d in docs]], pa.list_(_LONGS)),
+                 pa.array([[t.to_pylist() for t in training]], pa.list_(pa.list_(pa.bool_()))), pa.array([list(sizes)], pa.list_(_LONGS)),
+                 pa.array([list(texts)], pa.list_(pa.binary()))], names=["block", "docs", "training", "sizes", "texts"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), F.coalesce(is_training, F.lit(False)).alias("training"),
                        F.xxhash64(F.col(doc_id).cast("long"), F.col(text)).alias("ident"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(work, "block long, docs array<long>, training array<boolean>, sizes array<long>, texts binary")
+    return rows.mapInArrow(
+        work, "block long, docs array<array<long>>, training array<array<boolean>>, sizes array<array<long>>, texts array<binary>")
 
 
-def _unpacked(row: dict) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """The (doc, text) rows of a block in slices, with their training flags."""
-    at = np.concatenate([[0], np.cumsum(np.array(row["sizes"], dtype=np.int64))])
-    data = pa.decompress(row["texts"], int(at[-1]), codec="zstd") if at[-1] else b""
-    batch = pa.RecordBatch.from_arrays(
-        [pa.array(row["docs"], pa.int64()), text_array(np.frombuffer(data, np.uint8), at), pa.array(row["training"], pa.bool_())],
-        names=["doc", "text", "training"])
-    for part in slices(iter([batch]), "text", SLICE_BYTES):
-        yield part, part.column("training").to_numpy(zero_copy_only=False)
+def _unpacked(block: pa.RecordBatch | pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The (doc, text) rows of a block, one slice after the other, with their training flags."""
+    row = [block.column(c)[0].values for c in ("docs", "training", "sizes", "texts")]
+    for docs, training, sizes, packed in zip(*row, strict=True):
+        at = np.concatenate([[0], np.cumsum(sizes.values.to_numpy())])
+        data = pa.decompress(packed.as_buffer(), int(at[-1]), codec="zstd") if at[-1] else b""
+        yield pa.RecordBatch.from_arrays([docs.values, text_array(np.frombuffer(data, np.uint8), at)], names=["doc", "text"]), \
+            training.values.to_numpy(zero_copy_only=False)
+
+
+class _Tally:
+    """Keys with summed counts, merged as they come: never much more than twice what there is in the end."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.more = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, counts))
+        self.more += len(keys)
+        if self.more > len(self.keys):
+            self.merged()
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        """The different keys in ascending order, and their counts."""
+        if self.waiting:
+            parts = [(self.keys, self.counts), *self.waiting]
+            self.waiting, self.more = [], 0
+            self.keys, self.counts = counted(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        return self.keys, self.counts
 
 
 #: Keys are hashed or packed numbers: a prime modulus deals both evenly, in numpy and in Spark alike.
@@ -103,19 +131,16 @@ def dictionaries(blocks: DataFrame, order: int, parts: int) -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                found: dict[int, list] = {TOKEN: [], GRAM: []}
-                for part, training in _unpacked(row):
-                    for kind, (keys, first) in ((TOKEN, text_tokens(part.column("text"))),
-                                                (GRAM, text_grams(part.column("text"), order))):
+                block = batch.slice(i, 1)
+                tallies = {TOKEN: _Tally(), GRAM: _Tally()}
+                for part, training in _unpacked(block):
+                    for kind, found in ((TOKEN, text_tokens), (GRAM, lambda c: text_grams(c, order))):
+                        keys, first = found(part.column("text"))
                         codes, own = pd.factorize(keys)
                         weight = np.repeat(training, np.diff(np.append(first, len(keys)))).astype(float)
-                        found[kind].append((own, np.bincount(codes, weights=weight, minlength=len(own)).astype(np.int64)))
-                for kind, pieces in found.items():
-                    if not pieces:
-                        continue
-                    keys, counts = counted(*(np.concatenate(x) for x in zip(*pieces, strict=True)))
-                    yield _packed(row["block"], kind, keys, counts, parts)
+                        tallies[kind].add(own, np.bincount(codes, weights=weight, minlength=len(own)).astype(np.int64))
+                for kind in list(tallies):
+                    yield _packed(block.column("block")[0].as_py(), kind, *tallies.pop(kind).merged(), parts)
 
     return blocks.mapInArrow(work, "block long, kind int, part long, keys array<long>, counts array<long>")
 
@@ -205,20 +230,20 @@ def _scorer(order: int, parts: int):
             given[kind.as_py(), part.as_py()] = lists[kind.as_py()].values.to_numpy()
         if not blocks.num_rows:
             return _SCORED_ARROW.empty_table()
-        row = blocks.slice(0, 1).to_pylist()[0]
-        found: dict[int, list] = {TOKEN: [], GRAM: []}
-        for part, _ in _unpacked(row):
-            found[TOKEN].append(pd.unique(text_tokens(part.column("text"))[0]))
-            found[GRAM].append(pd.unique(text_grams(part.column("text"), order)[0]))
         known = {}
-        for kind in found:
-            keys = np.sort(pd.unique(np.concatenate(found[kind])))
-            keys = keys[np.argsort(_shares(keys, parts), kind="stable")]
-            value = np.concatenate([given[k] for k in sorted(given) if k[0] == kind])
+        for kind, found in ((TOKEN, text_tokens), (GRAM, lambda c: text_grams(c, order))):
+            tally = _Tally()
+            for part, _ in _unpacked(blocks):
+                keys = pd.unique(found(part.column("text"))[0])
+                tally.add(keys, np.zeros(len(keys), np.int64))
+            keys = tally.merged()[0]
+            by = np.argsort(_shares(keys, parts), kind="stable")  # the order the values come in
+            value = np.concatenate([given.pop(k) for k in sorted(k for k in given if k[0] == kind)] or [np.zeros(0)])
             if len(keys) != len(value):
                 raise RuntimeError("a block's dictionary is not whole")
-            by = np.argsort(keys)
-            known[kind] = keys[by], value[by]
+            sorted_value = np.empty_like(value)
+            sorted_value[by] = value
+            known[kind] = keys, sorted_value
 
         def looked_up(kind: int, keys: np.ndarray) -> np.ndarray:
             codes, own = pd.factorize(keys)
@@ -226,7 +251,7 @@ def _scorer(order: int, parts: int):
 
         out = []
         for i in range(blocks.num_rows):  # more than one only if whole blocks are repeated
-            for part, training in _unpacked(blocks.slice(i, 1).to_pylist()[0]):
+            for part, training in _unpacked(blocks.slice(i, 1)):
                 tokens, first = text_tokens(part.column("text"))
                 count = looked_up(TOKEN, tokens)
                 grams, first_gram = text_grams(part.column("text"), order)
