@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.joins import count_copies, expand_copies, hot_keys, skew_join
@@ -16,17 +16,21 @@ def new_users(dimension: DataFrame) -> DataFrame:
 
 
 def attach_new_user(
-    impressions: DataFrame, users: DataFrame, hot_devices: DataFrame | None = None, expand: bool = True
+    impressions: DataFrame, users: DataFrame, hot_devices: DataFrame | None = None, expand: bool = True,
+    tasks: int | None = None, unmatched: Column | None = None,
 ) -> DataFrame:
     """Impressions of new users with the item that brought the user.
 
     An outer join followed by a match-required filter, hence an inner join. A
     device listed m times yields m rows per impression; ``expand=False`` keeps
-    equal rows folded in ``copies`` for the joins to come.
+    equal rows folded in ``copies`` for the joins to come, ``tasks`` spreads the copies when they are written out.
+    Rows that ``unmatched`` holds for stay even without a match, with NULL ``copies``.
     """
     folded = count_copies(users, ["device", "wlx_content_id"], "copies")
-    joined = skew_join(impressions, folded, "device", "inner", hot_devices)
-    return expand_copies(joined, "copies") if expand else joined
+    joined = skew_join(impressions, folded, "device", "inner" if unmatched is None else "left", hot_devices)
+    if unmatched is not None:
+        return joined.where(F.col("copies").isNotNull() | unmatched)
+    return expand_copies(joined, "copies", tasks) if expand else joined
 
 
 def keep_new_user_clicks(
@@ -38,7 +42,7 @@ def keep_new_user_clicks(
     melts down a device or pair that holds a large share of them.
     """
     columns = [c for c in clicks.columns if c != "copies"]
-    folded = count_copies(clicks, columns, "copies", "copies" if "copies" in clicks.columns else None)
+    folded = folded_clicks(clicks)
     listed = count_copies(users, ["device"], "_listed")
     joined = skew_join(folded, listed, "device", "inner", hot_devices).select(
         *columns, (F.col("copies") * F.col("_listed")).alias("copies")
@@ -56,3 +60,9 @@ def only_new_users(rows: DataFrame, users: DataFrame, hot_devices: DataFrame | N
 
 def hot_devices(rows: DataFrame, **limits: int) -> DataFrame:
     return hot_keys(rows.select("device"), "device", **limits)
+
+
+def folded_clicks(clicks: DataFrame) -> DataFrame:
+    """Equal clicks as one row with ``copies``: what :func:`keep_new_user_clicks` joins, and its hot devices are counted on."""
+    columns = [c for c in clicks.columns if c != "copies"]
+    return count_copies(clicks, columns, "copies", "copies" if "copies" in clicks.columns else None)

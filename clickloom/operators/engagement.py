@@ -68,12 +68,12 @@ def add_read_time(
 
 
 def label_clicks(
-    shows: DataFrame, clicks: DataFrame, hot_pairs: DataFrame | None = None, expand: bool = True
+    shows: DataFrame, clicks: DataFrame, hot_pairs: DataFrame | None = None, expand: bool = True, tasks: int | None = None
 ) -> DataFrame:
     """Shows with ``click`` and ``read_time``: clicked when a click of (item, device) exists.
 
     All pairs are kept, so n clicks of one show give n rows. Clicks are folded
-    by read time before they are shuffled.
+    by read time before they are shuffled. ``tasks`` spreads the copies of a row that stands for many when they are written out.
     """
     if "copies" not in shows.columns:
         shows = shows.withColumn("copies", F.lit(1).cast("bigint"))
@@ -87,4 +87,4 @@ def label_clicks(
         F.coalesce("read_time", F.lit(0.0)).alias("read_time"),
         (F.col("copies") * F.coalesce("_clicks", F.lit(1))).alias("copies"),
     )
-    return expand_copies(rows, "copies") if expand else rows
+    return expand_copies(rows, "copies", tasks) if expand else rows

@@ -19,14 +19,18 @@ _SALT = "_salt"
 _PIECES = "_pieces"
 
 
-def hot_keys(rows: DataFrame, keys: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def hot_keys(
+    rows: DataFrame, keys: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK, weight: str | None = None
+) -> DataFrame:
     """Keys with more than ``rows_per_task`` rows, and into how many pieces to cut each.
 
+    A row counts as many rows as its ``weight`` says (the copies it stands for, the positions it lists).
     Counts are partly summed before the shuffle. There are no more such keys than
     ``rows_per_task`` goes into the rows; Spark broadcasts them if their size allows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    counts = rows.where(~any_null(*keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    amount = F.sum(F.col(weight).cast("bigint")) if weight else F.count(F.lit(1))
+    counts = rows.where(~any_null(*keys)).groupBy(*keys).agg(amount.alias("_n"))
     return counts.where(F.col("_n") > rows_per_task).select(
         *keys, F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias(_PIECES)
     )
@@ -96,14 +100,32 @@ def count_copies(rows: DataFrame, keys: Sequence[str], copies: str, weight: str
 
 
 _STEP = 4096
+#: Copies of one row that stay together when copies are spread.
+COPIES_TOGETHER = 1 << 16
+
+_PART = "_part"
+
+
+def split_copies(rows: DataFrame, copies: str, most: int = COPIES_TOGETHER) -> DataFrame:
+    """Rows that stand for more than ``most`` copies as several that stand for ``most`` at most, numbered in ``_part``.
+
+    The number tells them apart, so a salt or a shuffle can part them.
+    """
+    parts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(`{copies}` - 1) div {most}")))
+    amount = F.least(F.lit(most).cast("bigint"), F.col(copies) - F.col(_PART) * most)
+    return rows.withColumn(_PART, parts).withColumn(copies, amount)
 
 
-def expand_copies(rows: DataFrame, copies: str) -> DataFrame:
+def expand_copies(rows: DataFrame, copies: str, tasks: int | None = None, most: int = COPIES_TOGETHER) -> DataFrame:
     """Write every row out ``copies`` times.
 
     Two generators, so that no array grows with the number of copies beyond
-    ``copies / 4096`` entries.
+    ``copies / 4096`` entries. With ``tasks`` the rows are split first (:func:`split_copies`) and the parts shuffled over so
+    many tasks, so the copies of one row are written by many; what is shuffled is one row per ``most`` copies.
     """
+    if tasks:
+        rows = split_copies(rows, copies, most)
+        rows = rows.repartition(tasks, F.xxhash64(*_quoted(_hashable(rows)))).drop(_PART)
     blocks = F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({copies} - 1) div {_STEP}")))
     rest = F.explode(
         F.sequence(F.lit(1).cast("bigint"), F.least(F.lit(_STEP), F.col(copies) - F.col("_block") * _STEP))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.functions.text import usable_id
@@ -19,6 +19,19 @@ def impression_problem() -> Column:
     )
 
 
+#: What :func:`impression_problem` can say.
+IMPRESSION_PROBLEMS = ("no device", "no content", "no props", "bad props")
+
+
+def observe_problems(rows: DataFrame, observation: Observation, problem: str = "problem") -> DataFrame:
+    """The same rows; whatever action runs over them fills the observation with ``rows`` and the number of each problem.
+
+    No pass of its own. A stage that is run again after a loss may count its rows again.
+    """
+    counts = [F.count_if(F.col(problem) == p).alias(p) for p in IMPRESSION_PROBLEMS]
+    return rows.observe(observation, F.count(F.lit(1)).alias("rows"), *counts)
+
+
 def split_rejects(rows: DataFrame, problem: Column) -> tuple[DataFrame, DataFrame]:
     """The usable rows, and the others with their ``problem``."""
     checked = rows.withColumn("problem", problem)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.records import run_parameters, sorted_entries, utc_text
+from clickloom.operators.triggers import triggered
 
 RUNNING = "running"
 SUCCESS = "success"
@@ -101,6 +102,31 @@ def sample_metrics(
     return _first_of(metrics, [*by, slot], F.struct("ts", "global_step"))
 
 
+def sample_by_trigger(
+    metrics: DataFrame,
+    every_n_steps: int | None = None,
+    every_n_secs: float | None = None,
+    by: Sequence[str] = ("run_id", "name"),
+    chunk: int | None = None,
+) -> DataFrame:
+    """The rows a trigger lets through, exactly one of the two options given.
+
+    The first row, then each next one that is at least ``n`` steps or seconds after the last one taken, whatever gaps the
+    steps have. Of rows at one step (or time) the first by time (or step) counts.
+    """
+    if (every_n_steps is None) == (every_n_secs is None):
+        raise ValueError("give exactly one of every_n_steps and every_n_secs")
+    if every_n_steps is not None:
+        at, gap, order = F.col("global_step"), every_n_steps, F.struct("global_step", "ts")
+    else:
+        at, gap, order = _micros(F.col("ts")), round(every_n_secs * 1_000_000), F.struct("ts", "global_step")
+    keyed = metrics.withColumn("_at", at.cast("bigint"))
+    taken = triggered(metrics, at, gap, by, chunk)
+    same = [F.col(f"rows.{c}").eqNullSafe(F.col(f"taken.{c}")) for c in [*by, "_at"]]
+    picked = keyed.alias("rows").join(taken.alias("taken"), same, "left_semi")
+    return _first_of(picked, [*by, F.col("_at")], order).drop("_at")
+
+
 def final_values(metrics: DataFrame) -> DataFrame:
     """Value at the last step of every run and metric; of one step's records one without a time, or step, is the first."""
     # step and time as one decimal, which a hashed group can hold in place; what is missing lies below all there are
@@ -118,10 +144,12 @@ def examples_per_second(
     every_n_secs: int | None = None,
     warm_steps: int = 0,
     chunk_steps: int = 1_000_000,
+    trigger: bool = False,
 ) -> DataFrame:
     """Current and running examples per second at each sampled step after the warm-up.
 
-    ``ticks`` has ``run_id, global_step, ts``, a step once per run. The first
+    ``ticks`` has ``run_id, global_step, ts``, a step once per run. Steps are sampled by slots, or by
+    a ``trigger`` that counts from the last sampled one. The first
     sampled step starts the clock and gives no row. The sums of step and time
     gains telescope, so the running figure needs the run's first sampled step
     only. A run is cut in chunks of ``chunk_steps`` steps: the previous step is
@@ -129,7 +157,10 @@ def examples_per_second(
     length is never in one task; the window over chunks sees one row for each.
     """
     warm = ticks.select("run_id", "global_step", "ts").where(F.col("global_step") > warm_steps)
-    sampled = sample_metrics(warm, every_n_steps, every_n_secs, by=["run_id"], first_step=warm_steps + 1)
+    if trigger:
+        sampled = sample_by_trigger(warm, every_n_steps, every_n_secs, by=["run_id"])
+    else:
+        sampled = sample_metrics(warm, every_n_steps, every_n_secs, by=["run_id"], first_step=warm_steps + 1)
     tick = F.struct("global_step", "ts")
     chunked = sampled.select(
         "*", tick.alias("_tick"), F.floor(F.col("global_step") / F.lit(chunk_steps)).alias("_chunk")

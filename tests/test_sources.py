@@ -141,6 +141,8 @@ def test_hourly_job_end_to_end(spark, tmp_path):
     log = [("u" + d, d, "100", entries(content="1,2", props=props), "2024-01-01", h) for h, d in hours]
     log += [("u" + d, d, "300", entries(content_id="2", channel="255", is_appview="1", **{"from": "11"}), "2024-01-01", h)
             for h, d in hours]
+    log += [(None, "d9", "100", entries(content="1", props="{bad"), "2024-01-01", "05"), (None, "0", "100", entries(content="1", props=props), "2024-01-01", "05"),
+            ("ud1", "d1", "100", entries(props=props), "2024-01-01", "05")]
     spark.createDataFrame(log, S.EVENT_LOG_SCHEMA).write.partitionBy("ds", "hh").parquet(str(tmp_path / "log"))
     read = [("d1", "ud1", "4034", entries(useTime="8", selectedId="2", channel="255"), "2024-01-01", "20")]
     spark.createDataFrame(read, S.COLLECT_LOG_SCHEMA).write.partitionBy("ds", "hh").parquet(str(tmp_path / "collect"))
@@ -151,9 +153,15 @@ def test_hourly_job_end_to_end(spark, tmp_path):
     job = hourly.HourlyJob(
         event_log=str(tmp_path / "log"), collect_log=str(tmp_path / "collect"), new_users=str(tmp_path / "users"),
         item_features=str(tmp_path / "items"), user_features=str(tmp_path / "profiles"),
-        samples=str(tmp_path / "samples"), item_ids=str(tmp_path / "ids"), table="hourly_test", fmt="csv")
-    for hour in ("05", "06", "05"):
-        hourly.run_hour(spark, job, "2024-01-01", hour)
+        samples=str(tmp_path / "samples"), item_ids=str(tmp_path / "ids"), rejects=str(tmp_path / "rejects"), table="hourly_test", fmt="csv")
+    folder = spark.conf.get("spark.checkpoint.dir")
+    left = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    reports = {hour: hourly.run_hour(spark, job, "2024-01-01", hour) for hour in ("05", "06", "05")}
+    assert set(os.listdir(folder)) == left  # nothing staged stays
+    assert reports["05"] == hourly.HourReport(4, {"no device": 1, "no content": 1, "bad props": 1}, 2)
+    assert reports["06"] == hourly.HourReport(1, {}, 2)
+    rejected = spark.read.parquet(str(tmp_path / "rejects" / "ds=2024-01-01" / "hh=05"))
+    assert rows(rejected, "device", "uid", "problem") == [("0", None, "no device"), ("d1", "ud1", "no content"), ("d9", None, "bad props")]
     got = rows(spark.table("hourly_test"), "hh", "u_id", "u_content_id", "i_cate", "l_click", "l_read_time")
     assert got == [("05", "ud1", 1, 9, 0, 0.0), ("05", "ud1", 2, None, 1, 8.0),
                    ("06", "ud2", 1, 9, 0, 0.0), ("06", "ud2", 2, None, 1, 0.0)]

@@ -1,8 +1,10 @@
 import datetime as dt
 import os
 
+import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -200,13 +202,48 @@ def test_models_train_save_and_score(spark, tmp_path, model_type):
     row = metrics.first()
     assert row.examples == 600 and row.auc > 0.8
     assert not os.listdir(spark.conf.get("spark.checkpoint.dir")) or not [
-        f for f in os.listdir(spark.conf.get("spark.checkpoint.dir")) if f.startswith("vectors")]
+        f for f in os.listdir(spark.conf.get("spark.checkpoint.dir")) if f.startswith(("vectors", "encoded", "supports"))]
     path = str(tmp_path / "model")
     training.export_model(model, path)
     before = rows(training.score(model, data, model_type, ["fea9", "fea15"]))
     assert rows(training.score(training.load_model(path), data, model_type, ["fea9", "fea15"])) == before
 
 
+def test_a_fit_over_classes_of_places_is_that_over_all_places(spark):
+    """Same minimum as the plain fit over the whole vector; places that never occur weigh nothing."""
+    small = encoding.EncoderSpec(hashed=dict.fromkeys(encoding.HASH_SIZES, 40), crossed=dict.fromkeys(encoding.CROSS_SIZES, 150))
+    spec = training.TrainingSpec(encoder=small, reg=0.05, tolerance=1e-12, max_iter=500)
+    data = training_rows(spark, 400)
+    train = data.where("r_type = 1")
+    by_classes = training.fit(train, training.WIDE, spec).stages[-1]
+    encode, vectors, learner = training.build_pipeline(training.WIDE, spec).getStages()
+    placed = encode.transform(train).select("label", "wide_positions").collect()
+    plain = spark.createDataFrame(
+        [(float(r.label), Vectors.sparse(small.width(), sorted(r.wide_positions), [1.0] * len(r.wide_positions))) for r in placed], ["label", "wide_features"])
+    whole = learner.fit(plain)
+    assert len(by_classes.coefficients) == len(whole.coefficients) == small.width()
+    assert by_classes.coefficients.toArray() == pytest.approx(whole.coefficients.toArray(), abs=1e-4)
+    assert by_classes.intercept == pytest.approx(whole.intercept, abs=1e-3)
+    never = whole.coefficients.toArray() == 0
+    assert 0 < never.sum() < small.width() and not by_classes.coefficients.toArray()[never].any()
+
+
+def test_places_of_the_same_rows_are_one_class(spark):
+    frame = spark.createDataFrame([(1, [0, 2, 5]), (2, [0, 3, 5]), (3, [0, 3, 9]), (4, []), (5, None)], "id long, p array<long>")
+    found = training.place_classes(frame, "p", "id", 10)
+    assert found.of_place.tolist() == [0, -1, 1, 2, -1, 3, -1, -1, -1, 4] and found.places.tolist() == [1, 1, 1, 1, 1]
+    frame = spark.createDataFrame([(1, [0, 2, 5, 7]), (2, [0, 3, 7]), (3, [9, 8])], "id long, p array<long>")
+    found = training.place_classes(frame, "p", "id", 10)
+    assert sorted(found.places.tolist()) == [1, 2, 2, 2]
+    rows_in = training.in_classes(frame, "p", found).orderBy("id").collect()
+    assert [len(r.p.indices) for r in rows_in] == [2, 2, 1] and rows_in[2].p["values"] == [2 ** 0.5]
+    assert [r.p.indices == sorted(r.p.indices) for r in rows_in] == [True] * 3
+    weights = found.spread(np.arange(1.0, 5.0))
+    assert weights[0] == weights[7] and weights[1] == weights[4] == 0 and weights[8] == weights[9]
+    with pytest.raises(ValueError, match="outside"):
+        training.place_classes(frame, "p", "id", 9)
+
+
 def test_the_wide_vector_has_a_place_for_every_id(spark):
     spec = training.TrainingSpec()
     rows = training_rows(spark, 50)

@@ -246,6 +246,11 @@ ORACLE["reject_counts"] = _with("checked") + """
 SELECT ds, count(*) FILTER (WHERE problem IS NULL) AS good, count(problem) AS rejected FROM checked GROUP BY ds"""
 ORACLE["rejected_rows"] = _with("checked") + "SELECT row_id, device, problem FROM checked WHERE problem IS NOT NULL"
 
+ORACLE["job_rejects"] = _with("checked") + """
+SELECT device, problem, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY problem) AS BIGINT) AS reported,
+       (SELECT count(*) FROM checked) AS impressions, true AS all_written
+FROM checked WHERE problem IS NOT NULL GROUP BY device, problem"""
+
 ORACLE["number_texts"] = """
 SELECT o_orderkey, CAST(CAST(trunc(h / 100.0::DOUBLE + 0.5) AS BIGINT) AS VARCHAR) AS rounded,
        CASE WHEN o_orderkey % 11 <> 0 THEN CASE WHEN h < 0 THEN h - 0.25::DOUBLE ELSE h + 0.25::DOUBLE END END AS parsed,
@@ -286,6 +291,10 @@ SELECT * FROM clicks WHERE device IN (SELECT device_id FROM dim WHERE content_id
 ORACLE["read_time_by_item"] = _with("read_time") + "SELECT * FROM read_time"
 ORACLE["clicks_with_read_time"] = _with("clicks", "read_time") + _timed("clicks")
 ORACLE["labelled_positions"] = _with("labelled") + "SELECT * FROM labelled"
+ORACLE["labelled_positions_spread"] = _with("labelled").replace("FROM events", """FROM (SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0 THEN 1 ELSE user_id END AS user_id, CASE WHEN event_id % 9 = 0 THEN '{"k": 7}' ELSE props END AS props)
+    FROM events)""") + """
+SELECT row_id, wlx_content_id, content_id, pos, click, read_time, count(*) AS copies FROM labelled GROUP BY ALL"""
 
 # Replies: the parts that parse, their values in order.
 _cte("reply", """
@@ -352,6 +361,7 @@ def _sample_column(name: str, kind: str) -> str:
 _cte("samples", "SELECT " + ", ".join(_sample_column(f.name, f.dataType.simpleString()) for f in SAMPLE_SCHEMA)
      + ", ds, hh FROM featured", "featured")
 ORACLE["full_samples"] = _with("samples") + "SELECT * FROM samples"
+ORACLE["full_samples_salted"] = ORACLE["full_samples"]
 ORACLE["sample_records"] = _with("featured") + f"""
 SELECT coalesce(uid, device) || ',' || device || ',' || content_id || ',' || wlx_content_id || ',' || {_USER_TEXT}
        || ',' || recall_from || ',' || {_ITEM_TEXT} || ',' || pos || ',' || click || ','
@@ -366,6 +376,7 @@ SELECT coalesce(uid, device) AS u_id, device AS u_device_id, CAST(content_id AS
        content_id || ',' || pos AS u_favocate5, pos AS i_pos, ds, hh FROM shows""", "shows")
 ORACLE["partition_overwrite"] = _with("light") + """
 SELECT * REPLACE (CASE WHEN ds = '2024-01-15' THEN i_pos + 100 ELSE i_pos END AS i_pos) FROM light"""
+ORACLE["partition_switched"] = ORACLE["partition_overwrite"]
 ORACLE["partition_emptied"] = _with("light") + "SELECT * FROM light WHERE NOT (ds = '2024-01-15' AND hh = '12')"
 ORACLE["texts_round_trip"] = """
 SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN text WHEN 1 THEN '  ' || substr(text, 1, 30) || '  ' WHEN 2 THEN '' WHEN 3 THEN NULL
@@ -481,6 +492,7 @@ _RECORDS = _with("number") + """
 SELECT run_id, name, value, unit, global_step, strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp, extras FROM number"""
 ORACLE["metric_records"] = _RECORDS
 ORACLE["metric_log_files"] = _RECORDS
+ORACLE["merged_metric_files"] = _RECORDS
 _RUNS = """
 SELECT 'run' || c_custkey AS run_id, 'wide_deep' AS model_name, c_mktsegment AS dataset,
        CASE WHEN c_custkey % 2 = 0 THEN 't' || c_custkey END AS test_id,
@@ -512,6 +524,41 @@ ORACLE["sampled_by_seconds"] = _with("number") + """
 SELECT run_id, name, global_step, value FROM number
 QUALIFY row_number() OVER (PARTITION BY run_id, name, epoch_us(ts) // (30 * 86400 * 1000000::BIGINT)
                            ORDER BY ts, global_step) = 1"""
+
+
+def _triggered(source: str, by: str, at: str, gap: int) -> str:
+    """Keys and place of the rows a trigger takes: from each place the next one that is due, followed from the first."""
+    return f"""
+, follows AS MATERIALIZED (
+  SELECT *, min({at}) OVER (PARTITION BY {by} ORDER BY {at} RANGE BETWEEN {gap} FOLLOWING AND UNBOUNDED FOLLOWING) AS due
+  FROM (SELECT DISTINCT {by}, {at} FROM {source})
+), taken AS (
+  SELECT {by}, min({at}) AS {at} FROM follows GROUP BY {by}
+  UNION ALL
+  SELECT {by}, follows.due AS {at} FROM taken JOIN follows USING ({by}, {at}) WHERE follows.due IS NOT NULL
+)"""
+
+
+_cte("gapped", """
+SELECT 'run' || (o_orderkey % 10) AS run_id, o_orderkey // 10 + 1 AS global_step, (o_orderkey // 10) * 1500 + o_orderkey % 7 * 100 AS ms
+FROM orders WHERE o_custkey % 7 < 2""")
+ORACLE["sampled_by_trigger"] = _with("number").replace("WITH ", "WITH RECURSIVE ", 1) + _triggered("number", "run_id, name", "global_step", 500) + """
+SELECT run_id, name, global_step, value FROM number SEMI JOIN taken USING (run_id, name, global_step)"""
+ORACLE["ticks_by_trigger"] = _with("gapped").replace("WITH ", "WITH RECURSIVE ", 1) + _triggered("gapped", "run_id", "ms", 10000) + """
+SELECT run_id, global_step FROM gapped SEMI JOIN taken USING (run_id, ms)"""
+ORACLE["throughput_by_trigger"] = (_with("gapped") + ", warm AS (SELECT * FROM gapped WHERE global_step > 20)").replace("WITH ", "WITH RECURSIVE ", 1) \
+    + _triggered("warm", "run_id", "global_step", 4) + """
+SELECT run_id, global_step,
+       round(1024 * (global_step - lag(global_step) OVER w) / ((ms - lag(ms) OVER w) / 1000.0::DOUBLE), 4) AS current_rate,
+       round(1024 * (global_step - first(global_step) OVER w) / ((ms - first(ms) OVER w) / 1000.0::DOUBLE), 4) AS average_rate
+FROM warm SEMI JOIN taken USING (run_id, global_step)
+WINDOW w AS (PARTITION BY run_id ORDER BY global_step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+QUALIFY lag(global_step) OVER w IS NOT NULL"""
+ORACLE["run_store_updates"] = """
+SELECT 'run' || event_id AS run_id, CASE event_type WHEN 'error' THEN 'failure' WHEN 'purchase' THEN 'success' ELSE 'running' END AS status,
+       strftime(CASE WHEN event_type IN ('error', 'purchase') THEN ts + INTERVAL 1 HOUR ELSE ts END, '%Y-%m-%d %H:%M:%S') AS ts,
+       strftime(ts, '%Y-%m-%d') AS day
+FROM events"""
 ORACLE["final_values"] = _with("number") + """
 SELECT run_id, name, global_step, value FROM number
 QUALIFY row_number() OVER (PARTITION BY run_id, name ORDER BY global_step DESC) = 1"""
@@ -581,6 +628,30 @@ FROM steps {'GROUP BY ' + by if by else ''}"""
 ORACLE["areas_under_curves"] = _areas("l_linestatus")
 ORACLE["areas_overall"] = _areas("")
 
+
+
+def _exact_areas(by: str) -> str:
+    """Pairs in order by ranks, ties counting half; precision after each different score."""
+    group = f"PARTITION BY {by} " if by else ""
+    keys = by + "," if by else ""
+    joined = f"USING ({by})" if by else "ON true"
+    return _with("scored") + f"""
+, known AS (SELECT {keys} label, score FROM scored WHERE score IS NOT NULL),
+ranked AS (SELECT {keys} label, (rank() OVER up + rank() OVER up + count(*) OVER tied - 1) / 2.0::DOUBLE AS place
+           FROM known WINDOW up AS ({group}ORDER BY score), tied AS (PARTITION BY {keys} score)),
+roc AS (SELECT {keys} (sum(place) FILTER (WHERE label = 1) - sum(label) * (sum(label) + 1) / 2.0::DOUBLE) / (sum(label) * sum(1 - label)) AS auc
+        FROM ranked {'GROUP BY ' + by if by else ''}),
+steps AS (SELECT {keys} score, sum(label) AS pos, count(*) AS n FROM known GROUP BY {keys} score),
+curve AS (SELECT *, sum(pos) OVER w / (sum(n) OVER w)::DOUBLE AS prec FROM steps WINDOW w AS ({group}ORDER BY score DESC)),
+pr AS (SELECT {keys} sum(pos * (prec + before) / 2) / sum(pos) AS area FROM (
+         SELECT *, coalesce(lag(prec) OVER (ORDER BY score DESC), prec) AS before FROM curve) {'GROUP BY ' + by if by else ''})
+SELECT {keys} round(auc, 5) AS auc, round(area, 5) AS auc_precision_recall FROM roc JOIN pr {joined}""".replace(
+        "lag(prec) OVER (ORDER", f"lag(prec) OVER ({group}ORDER")
+
+
+ORACLE["areas_exact"] = _exact_areas("l_linestatus")
+ORACLE["areas_exact_overall"] = _exact_areas("")
+
 # --- training: what the test part tells of itself; the flags say what a useful model must do ---------------------
 
 _cte("learnt", f"""

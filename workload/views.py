@@ -8,6 +8,7 @@ SQL text: one call per view instead of one per expression node.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickloom.operators import audience
 from clickloom.plans.hourly_samples import SampleInputs
@@ -59,7 +60,13 @@ def _props_entry(item: str) -> str:
     )
 
 
-def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hot_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with a hot user and a hot item: a third of all events are of user 1, a third of those of item 7."""
+    return table(spark, sf_dir, "events").withColumns({
+        "user_id": F.expr("if(event_id % 3 = 0, 1, user_id)"), "props": F.expr("if(event_id % 9 = 0, '{\"k\": 7}', props)")})
+
+
+def event_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Impressions (views) and clicks in one hourly log, cmd 100 and 300.
 
     An impression lists three to five items: some blank, some twice, some
@@ -81,7 +88,7 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "is_appview": "case event_id % 3 when 1 then '1' when 2 then '2' end",
     })
     return (
-        table(spark, sf_dir, "events")
+        (events or table(spark, sf_dir, "events"))
         .where("event_type in ('view', 'click')")
         .selectExpr("*", f"{_K} as k")
         .selectExpr(
@@ -96,22 +103,22 @@ def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def impressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return logs.impressions_of(event_log(spark, sf_dir).where(f"cmd = '{logs.IMPRESSION_CMD}'"))
+def impressions(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    return logs.impressions_of(event_log(spark, sf_dir, events).where(f"cmd = '{logs.IMPRESSION_CMD}'"))
 
 
-def click_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_log(spark, sf_dir).where(f"cmd = '{logs.CLICK_CMD}'")
+def click_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    return event_log(spark, sf_dir, events).where(f"cmd = '{logs.CLICK_CMD}'")
 
 
-def collect_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def collect_log(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Read-time log from purchases: bad devices, bad numbers, missing items, second devices."""
     field = _field(
         useTime="if(event_id % 19 = 0, 'n/a', cast(value as string))",
         selectedId=f"if(event_id % 29 <> 0, {_K}, null)",
         channel="if(event_id % 11 = 0, '254', '255')",
     )
-    return table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
+    return (events or table(spark, sf_dir, "events")).where("event_type = 'purchase'").selectExpr(
         "case when event_id % 31 = 0 then '' when event_id % 31 = 1 then '0' when event_id % 31 = 2 then null"
         f" when event_id % 4 = 0 then concat('e', user_id) else {_device('user_id')} end as device",
         f"{_MEMBER} as header_mi",
@@ -200,11 +207,11 @@ def user_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ])
 
 
-def sample_inputs(spark: SparkSession, sf_dir: str) -> SampleInputs:
+def sample_inputs(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> SampleInputs:
     return SampleInputs(
-        impressions=impressions(spark, sf_dir),
-        click_log=click_log(spark, sf_dir),
-        read_log=collect_log(spark, sf_dir),
+        impressions=impressions(spark, sf_dir, events),
+        click_log=click_log(spark, sf_dir, events),
+        read_log=collect_log(spark, sf_dir, events),
         new_users=new_users(spark, sf_dir),
         item_features=item_snapshot(spark, sf_dir),
         user_features=user_snapshot(spark, sf_dir),
@@ -295,6 +302,23 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gapped_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks of two customers in seven: steps with gaps."""
+    kept = table(spark, sf_dir, "orders").where("o_custkey % 7 < 2").selectExpr(
+        "concat('run', o_orderkey % 10) as run_id", "o_orderkey div 10 + 1 as global_step")
+    return ticks(spark, sf_dir).join(kept, ["run_id", "global_step"], "left_semi")
+
+
+def run_statuses(spark: SparkSession, sf_dir: str, ended: bool) -> DataFrame:
+    """A run per event, by the event's day: running, or, for runs that ``ended``, how they did an hour later."""
+    events = table(spark, sf_dir, "events")
+    if not ended:
+        return events.selectExpr("concat('run', event_id) as run_id", "'running' as status", "ts", "date_format(ts, 'yyyy-MM-dd') as day")
+    return events.where("event_type in ('error', 'purchase')").selectExpr(
+        "concat('run', event_id) as run_id", "if(event_type = 'error', 'failure', 'success') as status",
+        "ts + interval 1 hour as ts", "date_format(ts, 'yyyy-MM-dd') as day")
+
+
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").selectExpr(
         "concat('run', o_custkey) as run_id",
