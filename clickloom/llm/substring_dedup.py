@@ -38,6 +38,8 @@ GRAM = 32
 #: Pieces of one anchor that go to one shard, and bytes of a suffix array.
 MOST_PIECES = 2048
 SHARD_BYTES = 1 << 20
+#: Bytes of cut pieces that are written out at once.
+EMIT_BYTES = 8 << 20
 
 _LEAST = -(1 << 63)
 _LOW = U64(0xFFFFFFFF)
@@ -192,36 +194,59 @@ def folded_pieces(pieces: DataFrame, length: int, most_pieces: int) -> DataFrame
     return dealt.mapInArrow(work, f"{_PLACE}, n long, anchor long, kind int")
 
 
+def cut_pieces(part: pa.RecordBatch, length: int, emit_bytes: int = EMIT_BYTES) -> Iterator[pa.RecordBatch]:
+    """The wanted pieces of some texts with their bytes, in batches of about ``emit_bytes``.
+
+    A piece routed string by string has n * length bytes; it is cut into runs of strings first, so what is held does not grow with it.
+    """
+    data, at = text_buffer(part.column("text"))
+    doc, ident = (part.column(c).to_numpy() for c in ("doc", "ident"))
+    lists = part.column("wanted")
+    count = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    row = np.repeat(np.arange(part.num_rows), count)
+    flat = lists.flatten()
+    start, n, anchor, kind = (flat.field(c).to_numpy() for c in ("start", "n", "anchor", "kind"))
+    by = np.lexsort((start, row))  # neighbours in the text are cut together
+    row, start, n, anchor, one = row[by], start[by], n[by].astype(np.int64), anchor[by], kind[by] == STRINGS
+    most = max(1, emit_bytes // length)
+    runs_of = np.where(one, -(-n // most), 1)
+    inner = (np.arange(int(runs_of.sum())) - np.repeat(np.cumsum(runs_of) - runs_of, runs_of)) * most
+    row, start, n, anchor, one = (np.repeat(x, runs_of) for x in (row, start, n, anchor, one))
+    start = start + inner
+    n = np.where(one, np.minimum(most, n - inner), n)
+    cost = np.cumsum(np.where(one, n * length, n + length - 1))
+    cuts = np.flatnonzero(np.append(True, cost[1:] // emit_bytes != cost[:-1] // emit_bytes)) if len(n) else np.zeros(0, np.int64)
+    for s, e in zip(cuts.tolist(), [*cuts[1:].tolist(), len(n)], strict=False):
+        yield _with_bytes(data, at, doc, ident, length, *(x[s:e] for x in (row, start, n, anchor, one)))
+
+
+def _with_bytes(data: np.ndarray, at: np.ndarray, doc: np.ndarray, ident: np.ndarray, length: int, row: np.ndarray,
+                start: np.ndarray, n: np.ndarray, anchor: np.ndarray, one: np.ndarray) -> pa.RecordBatch:
+    if one.any():
+        times = np.where(one, n, 1)
+        inner = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
+        row, start, n, anchor, one = (np.repeat(x, times) for x in (row, start, n, anchor, one))
+        start, n = start + inner, np.where(one, 1, n)
+        begin = at[row] + start
+        low, high = int(begin[one].min()), int(begin[one].max()) + length
+        strings = span_hashes(data[low:high], begin[one] - low, begin[one] - low + length)
+        anchor[one] = strings.view(np.int64)
+    begin = at[row] + start
+    size = n + length - 1
+    offsets = np.concatenate([[0], np.cumsum(size)])
+    take = np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])
+    cut = pa.Array.from_buffers(pa.binary(), len(row), [
+        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[take]))])
+    return _batch("anchor bytes doc ident start n", anchor, cut, doc[row], ident[row], start, n)
+
+
 def piece_bytes(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(anchor, bytes, doc, ident, start, n) of the wanted pieces; those routed string by string have the string's hash as anchor."""
     lists = wanted.groupBy("doc", "ident").agg(F.collect_list(F.struct("start", "n", "anchor", "kind")).alias("wanted"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            data, at = text_buffer(part.column("text"))
-            lists = part.column("wanted")
-            count = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            row = np.repeat(np.arange(part.num_rows), count)
-            flat = lists.flatten()
-            start, n, anchor, kind = (flat.field(c).to_numpy() for c in ("start", "n", "anchor", "kind"))
-            one = kind == STRINGS
-            if one.any():
-                times = np.where(one, n, 1)
-                inner = np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times)
-                row, start, n, anchor, one = (np.repeat(x, times) for x in (row, start, n, anchor, one))
-                start, n = start + inner, np.where(one, 1, n)
-                begin = at[row] + start
-                strings = span_hashes(data, begin[one], begin[one] + length)
-                anchor = anchor.copy()
-                anchor[one] = strings.view(np.int64)
-            begin = at[row] + start
-            size = n + length - 1
-            offsets = np.concatenate([[0], np.cumsum(size)])
-            take = np.repeat(begin - offsets[:-1], size) + np.arange(offsets[-1])
-            cut = pa.Array.from_buffers(pa.binary(), len(row), [
-                None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data[take]))])
-            doc, ident = (part.column(c).to_numpy() for c in ("doc", "ident"))
-            yield _batch("anchor bytes doc ident start n", anchor, cut, doc[row], ident[row], start, n)
+            yield from cut_pieces(part, length)
 
     # a left join, so that Spark reuses this shuffle of the texts for the last join
     found = docs.join(lists, ["doc", "ident"], "left").select("doc", "ident", "text", "wanted")

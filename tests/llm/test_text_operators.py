@@ -641,3 +641,29 @@ def test_pipeline_of_edge_cases(spark, docs, none, items, tmp_path):
             if name != "best_fit":
                 assert frame.columns == docs.columns
         assert bool(frame.count()) == some
+
+
+def test_strings_of_a_flooded_text_are_cut_in_bounded_memory():
+    """2 MB whose every string is routed one by one: 200 MB come out, far less is held at a time."""
+    import tracemalloc
+
+    size, length = 2 << 20, 100
+    text = bytes(np.random.default_rng(1).integers(97, 123, size, dtype=np.uint8)).decode()
+    wanted = [[{"start": 0, "n": size - length + 1, "anchor": 5, "kind": substring_dedup.STRINGS}], [{"start": 1, "n": 3, "anchor": 9, "kind": substring_dedup.PIECE}]]
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int64()), ("anchor", pa.int64()), ("kind", pa.int32())]))
+    part = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([11, 12]), pa.array([text, "x" * 300]), pa.array(wanted, kind)],
+                                      names=["doc", "ident", "text", "wanted"])
+    tracemalloc.start()
+    strings, rows, whole = set(), 0, 0
+    for batch in substring_dedup.cut_pieces(part, length):
+        rows += batch.num_rows
+        whole += batch.column("bytes").nbytes
+        first, last = batch.slice(0, 1).to_pylist()[0], batch.slice(batch.num_rows - 1, 1).to_pylist()[0]
+        for r in (first, last):
+            source = text if r["doc"] == 1 else "x" * 300
+            assert r["bytes"].decode() == source[r["start"]:r["start"] + r["n"] + length - 1] and (r["n"] == 1) == (r["doc"] == 1)
+        strings.update(batch.column("anchor").to_numpy()[:50].tolist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == size - length + 2 and whole > 200 << 20 and len(strings) > 50
+    assert peak < 300 << 20
