@@ -841,7 +841,7 @@ def _training_rows(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(*_KEYS[:2], *_SPEC.hashed, label, split_flag(*keys).alias("r_type"))
 
 
-def _trained(model_type: str) -> Query:
+def _trained(model_type: str, least_auc: float = 0.75) -> Query:
     """What the data alone tell of the test part, and whether the model beats knowing no more than that."""
     def run(spark: SparkSession, sf: str) -> DataFrame:
         _, metrics = training.train_and_evaluate(_training_rows(spark, sf), model_type, _training(spark))
@@ -849,7 +849,7 @@ def _trained(model_type: str) -> Query:
         entropy = -(mean * F.ln(mean) + (1 - mean) * F.ln(1 - mean))
         return metrics.select(
             "examples", "unscored", F.round(mean, 6).alias("label_mean"), F.round("accuracy_baseline", 6).alias("accuracy_baseline"),
-            (F.col("auc") > 0.75).alias("ranks"), (F.col("average_loss") < entropy).alias("beats_the_mean"))
+            (F.col("auc") > least_auc).alias("ranks"), (F.col("average_loss") < entropy).alias("beats_the_mean"))
 
     return run
 
@@ -872,7 +872,8 @@ def train_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def train_deep(spark: SparkSession, sf: str) -> DataFrame:
-    return _trained(training.DEEP)(spark, sf)
+    # the hashed dense form alone ranks less well: README
+    return _trained(training.DEEP, least_auc=0.65)(spark, sf)
 
 
 @query
