@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.operators.joins import count_copies, expand_copies, hot_keys, skew_join
@@ -17,19 +17,19 @@ def new_users(dimension: DataFrame) -> DataFrame:
 
 def attach_new_user(
     impressions: DataFrame, users: DataFrame, hot_devices: DataFrame | None = None, expand: bool = True,
-    tasks: int | None = None, unmatched: Column | None = None,
+    tasks: int | None = None, unmatched: bool = False,
 ) -> DataFrame:
     """Impressions of new users with the item that brought the user.
 
     An outer join followed by a match-required filter, hence an inner join. A
     device listed m times yields m rows per impression; ``expand=False`` keeps
     equal rows folded in ``copies`` for the joins to come, ``tasks`` spreads the copies when they are written out.
-    Rows that ``unmatched`` holds for stay even without a match, with NULL ``copies``.
+    ``unmatched`` keeps the impressions of others as well, folded, with NULL ``copies``.
     """
     folded = count_copies(users, ["device", "wlx_content_id"], "copies")
-    joined = skew_join(impressions, folded, "device", "inner" if unmatched is None else "left", hot_devices)
-    if unmatched is not None:
-        return joined.where(F.col("copies").isNotNull() | unmatched)
+    joined = skew_join(impressions, folded, "device", "left" if unmatched else "inner", hot_devices)
+    if unmatched:
+        return joined
     return expand_copies(joined, "copies", tasks) if expand else joined
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom import schemas as S
@@ -166,8 +166,8 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> HourRepor
     """Build and write one hour, replacing it if it is there, and register the partition.
 
     The hour's log texts are read once: the impressions of new users, a small part
-    of them, are staged, together with those that have a problem (counted in the same pass); rejects, item ids, hot keys and samples
-    come from there. Feed clicks are staged folded, labelled positions with rows of many copies split: each
+    of them, are staged, together with those that have a problem, and the others as empty rows that only count; the report, rejects,
+    item ids, hot keys and samples come from there. Feed clicks are staged folded, labelled positions with rows of many copies split: each
     join's hot keys are counted on the staged rows it gets. A registered table gets the hour in one step
     (:func:`~clickloom.sources.sinks.publish_partition`), a folder alone is overwritten. Staged tables are removed at the end.
     """
@@ -184,11 +184,12 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> HourRepor
         item_features=logs.feature_snapshot(spark, job.item_features, job.snapshot_ds),
         user_features=logs.feature_snapshot(spark, job.user_features, job.snapshot_ds),
     )
-    observed = Observation("impressions")
-    checked = quality.observe_problems(impressions.withColumn("problem", quality.impression_problem()), observed)
-    staged = stage(audience.attach_new_user(
-        checked, users, audience.hot_devices(impressions, **limits), expand=False, unmatched=F.col("problem").isNotNull()), "shown")
-    counts = observed.get
+    checked = impressions.withColumn("problem", quality.impression_problem())
+    joined = audience.attach_new_user(checked, users, audience.hot_devices(impressions, **limits), expand=False, unmatched=True)
+    # the impressions of others that are fine stay as empty rows: they only count
+    wanted = F.col("copies").isNotNull() | F.col("problem").isNotNull()
+    staged = stage(joined.withColumns({c: F.when(wanted, F.col(c)) for c in impressions.columns}), "shown")
+    counts = quality.count_checked(staged)
     hour = {"ds": ds, "hh": hh}
     if job.rejects:
         rejected = staged.where(F.col("problem").isNotNull()).drop("wlx_content_id", "copies").dropDuplicates(["row_id"])
@@ -209,4 +210,4 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> HourRepor
         sinks.write_partitions(built, job.samples, fmt=job.fmt, files=job.files, one_partition=hour)
     for table in (staged, clicks, labelled):
         drop_staged(table)
-    return HourReport(counts["rows"], {p: counts[p] for p in quality.IMPRESSION_PROBLEMS if counts[p]}, total)
+    return HourReport(sum(counts.values()), {p: n for p, n in counts.items() if p is not None}, total)
