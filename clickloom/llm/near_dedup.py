@@ -6,16 +6,18 @@ component of links.
 
 1. Documents of equal words are one content; from here on only contents move.
 2. Signatures of ``bands * rows`` coordinates are cut into bands; contents equal in a band share a bucket.
-   At similarity 0.8 two share none of 20 bands of 4 with a probability of 2e-8.
+   At similarity 0.8 two share none of 20 bands of 4 with a probability of (1 - 0.8^4)^20 = 2.6e-5; this is all that can be missed.
 3. In each bucket every content is paired with one member, the one that shares the most buckets
    with others, so a bucket of n gives n pairs and mostly the same ones in all bands. Pairs are verified
    exactly and linked contents united.
-4. What 3. leaves apart is compared within its buckets, in blocks of bounded size, by signature; pairs of different
-   components whose coordinates agree closely enough (``least_agreement``: 0.65 of 80, which a pair at 0.8 misses
-   with a probability of about 0.002) are verified exactly too. Only links that unite components are written out.
+4. What 3. leaves apart is compared within its buckets, in blocks of bounded size. Members of a bucket's largest component
+   need no comparison among themselves: they meet the others alone, so a bucket of n with few others costs n, not n^2. Pairs of different
+   components are screened by an upper bound of their overlap, from sizes and histograms of their shingles, which no
+   similar pair fails, and verified exactly. Only links that unite components are written out.
 
-So no pair is left out because its bucket is large, and all pairs of a bucket are never written out. The shingles needed for verification are computed by a second pass
-over the texts; a bitmap of fixed size of the contents in question thins it.
+So no pair that shares a bucket is left out, and all pairs of a bucket are never written out. A center that many are paired with is
+repeated, so that several tasks verify its pairs. The shingles needed for verification are computed by a second pass
+over the texts; a bitmap of fixed size of the contents in question thins it. Staged tables are removed when the classes are known.
 
 Edge cases: null, empty and word-less texts are in no content and a class of their own; rows that repeat a doc_id
 are documents like others (of equal ids the text with the smaller hash comes first); null doc_ids count as larger than any other for naming a class; an empty table has no rows; further columns are
@@ -35,14 +37,17 @@ from clickloom.llm.bytework import MULTIPLIERS, U64, Words, mix, slices
 from clickloom.llm.components import components
 from clickloom.llm.dart_minhash import contents, shingle_cells, signatures
 from clickloom.llm.filters import bitmap_of, in_bitmap
-from clickloom.llm.frames import fresh, stage
+from clickloom.llm.frames import drop_staged, fresh, stage
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
-LEAST_AGREEMENT = 0.65
 #: Members of a bucket that are compared at once.
 BLOCK = 2048
+#: Pairs of one center that a task verifies.
+PAIRS_PER_TASK = 16384
+#: Bins of the histograms that bound an overlap.
+BINS = 512
 
 
 def row_key(doc_id: str, text: str) -> Column:
@@ -99,29 +104,50 @@ def content_cells(docs: DataFrame, text: str, shingle: int, bitmap: np.ndarray)
     return docs.select(F.col(text).cast("string").alias("text")).mapInArrow(work, "content long, cells array<long>")
 
 
-def verified(pairs: DataFrame, cells: DataFrame, similarity: float) -> DataFrame:
-    """The (a, b) pairs whose bags are similar enough, by exact count."""
+def verified(pairs: DataFrame, cells: DataFrame, similarity: float, per_task: int = PAIRS_PER_TASK) -> DataFrame:
+    """The (a, b) pairs whose bags are similar enough, by exact count; a ``b`` of many pairs is repeated for each ``per_task`` of them."""
+    pieces = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / per_task).cast("int").alias("pieces"))
     x = cells.select(F.col("content").alias("a"), F.col("cells").alias("x"))
-    y = cells.select(F.col("content").alias("b"), F.col("cells").alias("y"))
+    y = cells.select(F.col("content").alias("b"), F.col("cells").alias("y")).join(pieces, "b").select(
+        "b", "y", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
+    dealt = pairs.join(pieces, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("pieces")).cast("int").alias("piece"))
     n, m, both = F.size("x"), F.size("y"), F.size(F.array_intersect("x", "y"))
     near = (F.least(n, m) / F.greatest(n, m) >= similarity) & (both / (n + m - both) >= similarity)
-    return pairs.join(x, "a").join(y, "b").filter(near).select("a", "b")
+    return dealt.join(x, "a").join(y, ["b", "piece"]).filter(near).select("a", "b")
 
 
-def links_apart(members: DataFrame, similarity: float, least: float, block: int) -> DataFrame:
-    """(a, b): verified links between members of a bucket that lie in different components, as many as unite them.
+def split_buckets(rooted: DataFrame) -> DataFrame:
+    """(bucket, main, most) of the buckets whose members are in several components: the largest of these, and its members."""
+    found = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root")).alias("top"))
+    return found.filter("roots > 1").select("bucket", F.col("top.root").alias("main"), F.col("top.n").alias("most"))
+
+
+def deal(members: DataFrame, block: int) -> DataFrame:
+    """Members of split buckets, each in the cells (bucket, i, j) of blocks that it is compared in; ``own``: its block.
 
-    ``members``: bucket, size, content, root, bands, coords, cells. Pairs are screened by their coordinates, each in its first
-    common band only; those that agree in the part ``least`` are verified, the most alike first, unless
-    links found before have united them. A bucket beyond ``block`` members is compared block by block, so a task
-    holds two blocks at most. Pairs stay inside the task; links alone come out.
+    The members out of the largest component are in blocks that meet each other and all blocks of that component; these do not
+    meet each other. A cell holds two blocks.
     """
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("content"), blocks).cast("int")
-    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    # as many blocks as it takes, of those outside of the largest component and of those inside
+    outer, inner = F.ceil((F.col("size") - F.col("most")) / block).cast("int"), F.ceil(F.col("most") / block).cast("int")
+    inside, number = F.col("root") == F.col("main"), F.xxhash64("content")
+    own = F.when(inside, outer + F.pmod(number, inner)).otherwise(F.pmod(number, outer)).cast("int")
+    others = F.sequence(F.lit(0), F.when(inside, outer).otherwise(outer + inner) - 1)
+    return members.withColumn("own", own).withColumn("other", F.explode(others)).select(
         "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "content", "root",
         "bands", "coords", "cells")
 
+
+def links_apart(members: DataFrame, similarity: float, block: int) -> DataFrame:
+    """(a, b): verified links between members of a bucket that lie in different components, as many as unite them.
+
+    ``members``: bucket, size, content, root, main, most, bands, coords, cells. Pairs are looked at in their first
+    common band only, screened by their sizes and histograms, and verified, those whose coordinates agree most first, unless
+    links found before have united them. Pairs stay inside the task; links alone come out.
+    """
+    dealt = deal(members, block)
+
     def compare(rows: list[pa.Table], out: list) -> None:
         group = pa.concat_tables(rows)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
@@ -133,7 +159,7 @@ def links_apart(members: DataFrame, similarity: float, least: float, block: int)
         cells = group.column("cells").combine_chunks()
         band = int(np.flatnonzero(keys[0] == group.column("bucket")[0].as_py())[0])
         side = np.flatnonzero(own == j)
-        need = least * coords.shape[1]
+        size, bins = _histograms(cells)
         _, part = np.unique(root, return_inverse=True)  # components, as links unite them
         bags: dict[int, np.ndarray] = {}
 
@@ -148,11 +174,12 @@ def links_apart(members: DataFrame, similarity: float, least: float, block: int)
                 mates = mates[content[mates] > content[p]]
             if not len(mates):
                 continue
+            mates = mates[np.minimum(size[mates], size[p]) >= similarity * np.maximum(size[mates], size[p]) - 1]
+            if band:
+                mates = mates[~(keys[mates, :band] == keys[p, :band]).any(axis=1)]
+            most = np.minimum(bins[mates], bins[p]).sum(axis=1)
+            mates = mates[most >= similarity * (size[mates] + size[p] - most) - 1]
             agree = (coords[mates] == coords[p]).sum(axis=1)
-            mates, agree = mates[agree >= need], agree[agree >= need]
-            if band and len(mates):
-                first = ~(keys[mates, :band] == keys[p, :band]).any(axis=1)
-                mates, agree = mates[first], agree[first]
             for q in mates[np.argsort(-agree, kind="stable")].tolist():
                 if part[q] != part[p] and _alike(bag(p), bag(q), similarity):
                     out.append((min(content[p], content[q]), max(content[p], content[q])))
@@ -184,6 +211,13 @@ def links_apart(members: DataFrame, similarity: float, least: float, block: int)
     return dealt.mapInArrow(work, "a long, b long")
 
 
+def _histograms(cells: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The size of each bag and how many of its cells fall in each bin: two bags share no more than the smaller counts add up to."""
+    size = cells.value_lengths().to_numpy().astype(np.int64)
+    key = (cells.flatten().to_numpy() & (BINS - 1)) + np.repeat(np.arange(len(size)) * BINS, size)
+    return size, np.bincount(key, minlength=len(size) * BINS).astype(np.int32).reshape(-1, BINS)
+
+
 def _alike(a: np.ndarray, b: np.ndarray, similarity: float) -> bool:
     """Whether two sorted bags are similar enough."""
     if len(a) > len(b):
@@ -199,8 +233,7 @@ def _pairs(out: list) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY,
-                    bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, least_agreement: float = LEAST_AGREEMENT,
-                    block: int = BLOCK) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, shingle: int = SHINGLE, block: int = BLOCK) -> DataFrame:
     """(doc, row_key, content, class_id, keeper) of every document.
 
     ``class_id`` is the smallest doc_id of its class, ``keeper`` the row_key of that document.
@@ -215,7 +248,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     known = stage(members.groupBy("content").agg(F.sum("size").alias("met")), "popularity")
     central = members.join(known, "content").groupBy("bucket").agg(
         F.max(F.struct("met", "content")).alias("top")).select("bucket", F.col("top.content").alias("center"))
-    star = stage(members.join(stage(central, "centers"), "bucket").filter("content <> center").select(
+    central = stage(central, "centers")
+    star = stage(members.join(central, "bucket").filter("content <> center").select(
         F.col("content").alias("a"), F.col("center").alias("b")).distinct(), "star-pairs")
     cells = stage(content_cells(docs, text, shingle, bitmap_of(known, F.col("content")))
                   .join(known.select("content"), "content", "left_semi").dropDuplicates(["content"]), "cells")
@@ -224,10 +258,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     rooted = members.join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(
         "root", F.coalesce("root", "content"))
-    split = rooted.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x <> y").select("bucket")
-    apart = rooted.join(stage(split, "split-buckets"), "bucket").join(
-        unique.select("content", "bands", "coords"), "content").join(cells, "content")
-    more = stage(links_apart(apart, similarity, least_agreement, block), "more-links")
+    split = stage(split_buckets(rooted), "split-buckets")
+    apart = rooted.join(split, "bucket").join(unique.select("content", "bands", "coords"), "content").join(cells, "content")
+    more = stage(links_apart(apart, similarity, block), "more-links")
     roots = components(links.unionByName(more))
 
     named = unique.select("content", "least").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn(
@@ -235,6 +268,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     classes = stage(named.groupBy("root").agg(F.min("least").alias("first")), "classes")
     by_content = stage(named.join(classes, "root").select(
         "content", F.col("first.doc").alias("class_id"), F.col("first.row_key").alias("keeper")), "class-of-content")
+    for table in (unique, sizes, members, known, central, star, cells, links, split, more, classes):
+        drop_staged(table)
     alone = F.col("content").isNull()
     return signed.select("doc", "row_key", "content").join(by_content, "content", "left").select(
         "doc", "row_key", "content", F.when(alone, F.col("doc")).otherwise(F.col("class_id")).alias("class_id"),

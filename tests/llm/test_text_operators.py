@@ -547,6 +547,48 @@ def test_a_chain_of_near_copies_in_blocks(spark):
         assert {r.doc: r.class_id for r in near_dedup.near_duplicates(frame, block=block).collect()} == want
 
 
+def test_members_of_one_component_are_not_dealt_to_each_other(spark):
+    rows = [(1, i, 0 if i < 5000 else i) for i in range(5003)]  # three members stand outside of a hot bucket's component
+    members = spark.createDataFrame(rows, "bucket long, content long, root long").withColumn("size", F.lit(len(rows))).withColumn(
+        "bands", F.lit(None)).withColumn("coords", F.lit(None)).withColumn("cells", F.lit(None))
+    split = near_dedup.split_buckets(members)
+    assert [tuple(r) for r in split.collect()] == [(1, 0, 5000)]
+    dealt = near_dedup.deal(members.join(split, "bucket"), 100).collect()
+    assert len(dealt) == 5000 + 3 * (1 + 50)
+    cells = {}
+    for r in dealt:
+        cells.setdefault((r.i, r.j), set()).add(r.content)
+    assert all(any({a, b} <= c for c in cells.values()) for a in (5000, 5001, 5002) for b in (*range(0, 5000, 97), 5000, 5001, 5002))
+    # no component holds more than one member: every two of them meet
+    lone = members.withColumn("root", F.col("content")).filter("content < 300").withColumn("size", F.lit(300))
+    met = {}
+    for r in near_dedup.deal(lone.join(near_dedup.split_buckets(lone), "bucket"), 40).collect():
+        met.setdefault((r.i, r.j), set()).add(r.content)
+    pairs = {(a, b) for c in met.values() for a in c for b in c if a < b}
+    assert len(pairs) == 300 * 299 // 2
+
+
+def test_a_center_of_many_pairs_is_repeated(spark):
+    cells = spark.createDataFrame([(i, [*range(9), 100 + i % 3]) for i in range(200)] + [(999, [5000])], "content long, cells array<long>")
+    pairs = spark.createDataFrame([(i, 0) for i in range(1, 200)] + [(999, 0), (1, 999)], "a long, b long")
+    got = sorted(tuple(r) for r in near_dedup.verified(pairs, cells, 0.8, per_task=10).collect())
+    assert got == [(i, 0) for i in range(1, 200)]  # nine of eleven shingles shared, or all
+
+
+def test_the_screen_of_near_dedup_is_a_bound():
+    rng = np.random.default_rng(3)
+    bags = [np.unique(rng.integers(-2 ** 62, 2 ** 62, 300))]
+    for i in range(60):
+        own = bags[0].copy()
+        own[:i] = rng.integers(-2 ** 62, 2 ** 62, i)
+        bags.append(own[: 300 - i // 3])
+    size, bins = near_dedup._histograms(pa.array([b.tolist() for b in bags], pa.list_(pa.int64())))
+    assert size.tolist() == [len(b) for b in bags] and (bins.sum(axis=1) == size).all()
+    for i, a in enumerate(bags):
+        for j, b in enumerate(bags):
+            assert np.minimum(bins[i], bins[j]).sum() >= len(np.intersect1d(a, b))
+
+
 @needs_tables
 def test_near_duplicate_query_equals_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
