@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickloom import schemas as S
 from clickloom.functions.text import strip_newlines, tag_list_from_words, typed_value
@@ -102,6 +103,32 @@ def attach_slots(
     return with_slot_defaults(joined, slots)
 
 
+_AT, _CALM, _HOT_SLOT = "_at", "_calm", "_hot_"
+
+
+def attach_bucketed_slots(
+    rows: DataFrame, key: str, table: DataFrame, slots: Sequence[S.FeatureSlot], hot: DataFrame | None = None
+) -> DataFrame:
+    """:func:`attach_slots` for a ``table`` bucketed by entity id, which stays where it lies: ``rows`` alone are shuffled, to its buckets.
+
+    Rows of a hot or NULL key have no bucket to go to: they are spread by their content and match nothing there. Hot keys
+    then get their values from a second join with the few table rows that are theirs, salted unless Spark broadcasts them.
+    """
+    spread = F.base64(F.xxhash64(*[f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]).cast("string").cast("binary"))
+    marked = rows if hot is None else rows.join(hot.withColumn(_CALM, F.lit(False)).select(key, _CALM), key, "left")
+    calm = F.col(key).isNotNull() & (F.lit(True) if hot is None else F.col(_CALM).isNull())
+    marked = marked.withColumn(_CALM, calm).withColumn(_AT, F.when(F.col(_CALM), F.col(key)).otherwise(spread))
+    values = table.select(F.col("entity_id"), *[s.column for s in slots])
+    joined = marked.join(values, (F.col(_AT) == F.col("entity_id")) & F.col(_CALM), "left").drop("entity_id", _AT, _CALM)
+    if hot is not None:
+        ids = hot.select(F.col(key).alias("entity_id"))
+        few = values.join(ids, "entity_id", "left_semi").select(
+            F.col("entity_id").alias(key), *[F.col(s.column).alias(_HOT_SLOT + s.column) for s in slots])
+        joined = skew_join(joined, few, key, "left", hot).withColumns(
+            {s.column: F.coalesce(s.column, _HOT_SLOT + s.column) for s in slots})
+    return with_slot_defaults(joined.select(*rows.columns, *[s.column for s in slots]), slots)
+
+
 def slot_record(slots: Sequence[S.FeatureSlot], sep: str = ",") -> Column:
     """Slot values as one delimited text."""
     return F.concat_ws(sep, *[F.col(s.column) for s in slots])

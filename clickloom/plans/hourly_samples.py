@@ -12,7 +12,7 @@ from clickloom import schemas as S
 from clickloom.functions.text import comma_list
 from clickloom.operators import audience, engagement, exposure, feature_slots, quality, samples
 from clickloom.operators.joins import COPIES_TOGETHER, ROWS_PER_TASK, expand_copies, hot_keys, split_copies
-from clickloom.sources import logs, sinks
+from clickloom.sources import logs, sinks, snapshots
 from clickloom.sources.scratch import drop_staged, stage
 
 
@@ -26,6 +26,8 @@ class SampleInputs:
     new_users: DataFrame  # device, wlx_content_id
     item_features: DataFrame  # snapshot rows
     user_features: DataFrame  # snapshot rows
+    item_slots: DataFrame | None = None  # bucketed slot values, in place of snapshot rows
+    user_slots: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -102,15 +104,20 @@ def featured_rows(
     """Labelled rows with all item and user slots.
 
     Features are looked up for the ids at hand alone: the snapshots are cut to them before they are
-    pivoted. Item slots first, user slots last: the long user texts are then attached
+    pivoted. Bucketed slot values are joined where they lie. Item slots first, user slots last: the long user texts are then attached
     by the final join and no later shuffle carries them. ``labelled`` takes :func:`labelled_positions`, folded, from a staged table.
     """
     if shown is None:
         shown = shown_to_new_users(inputs, hot.devices if hot else None)
     rows = labelled_positions(inputs, hot, expand=False, shown=shown) if labelled is None else labelled
-    items = feature_slots.slot_table(inputs.item_features, S.ITEM_SLOTS, exposure.distinct_items(shown), "content_id")
+    if inputs.item_slots is not None:
+        rows = feature_slots.attach_bucketed_slots(rows, "content_id", inputs.item_slots, S.ITEM_SLOTS, hot.items if hot else None)
+    else:
+        items = feature_slots.slot_table(inputs.item_features, S.ITEM_SLOTS, exposure.distinct_items(shown), "content_id")
+        rows = feature_slots.attach_slots(rows, "content_id", items, S.ITEM_SLOTS, hot.items if hot else None)
+    if inputs.user_slots is not None:
+        return feature_slots.attach_bucketed_slots(rows, "uid", inputs.user_slots, S.USER_SLOTS, hot.users if hot else None)
     users = feature_slots.slot_table(inputs.user_features, S.USER_SLOTS, shown.select("uid").distinct(), "uid")
-    rows = feature_slots.attach_slots(rows, "content_id", items, S.ITEM_SLOTS, hot.items if hot else None)
     return feature_slots.attach_slots(rows, "uid", users, S.USER_SLOTS, hot.users if hot else None)
 
 
@@ -136,7 +143,11 @@ def previous_hour(now: dt.datetime) -> tuple[str, str]:
 
 @dataclass(frozen=True)
 class HourlyJob:
-    """Where the tables of the job live, and how many rows a task should hold."""
+    """Where the tables of the job live, and how many rows a task should hold.
+
+    ``item_slots`` and ``user_slots`` name bucketed tables (:mod:`~clickloom.sources.snapshots`) that are read, at ``snapshot_ds``, in
+    place of the snapshots.
+    """
 
     event_log: str
     collect_log: str
@@ -148,6 +159,8 @@ class HourlyJob:
     rejects: str | None = None
     table: str | None = None
     snapshot_ds: str | None = None
+    item_slots: str | None = None
+    user_slots: str | None = None
     files: int | None = None
     fmt: str = "parquet"
     rows_per_task: int = ROWS_PER_TASK
@@ -172,6 +185,8 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> HourRepor
     (:func:`~clickloom.sources.sinks.publish_partition`), a folder alone is overwritten. Staged tables are removed at the end.
     """
     limits = {"rows_per_task": job.rows_per_task}
+    if (job.item_slots or job.user_slots) and job.snapshot_ds is None:
+        raise ValueError("bucketed slots are read by day: snapshot_ds is missing")
     log = logs.read_table(spark, job.event_log, S.EVENT_LOG_SCHEMA, row_id=True)
     collect = logs.read_table(spark, job.collect_log, S.COLLECT_LOG_SCHEMA)
     impressions = logs.impressions_of(logs.log_hour(log, ds, hh, logs.IMPRESSION_CMD))
@@ -183,6 +198,8 @@ def run_hour(spark: SparkSession, job: HourlyJob, ds: str, hh: str) -> HourRepor
         new_users=users,
         item_features=logs.feature_snapshot(spark, job.item_features, job.snapshot_ds),
         user_features=logs.feature_snapshot(spark, job.user_features, job.snapshot_ds),
+        item_slots=snapshots.slots_of_day(spark, job.item_slots, job.snapshot_ds) if job.item_slots else None,
+        user_slots=snapshots.slots_of_day(spark, job.user_slots, job.snapshot_ds) if job.user_slots else None,
     )
     checked = impressions.withColumn("problem", quality.impression_problem())
     joined = audience.attach_new_user(checked, users, audience.hot_devices(impressions, **limits), expand=False, unmatched=True)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import schemas as S
-from clickloom.operators import audience, evaluation, joins, runlog, triggers
+from clickloom.operators import audience, evaluation, feature_slots, joins, runlog, triggers
 from clickloom.plans import hourly_samples as hourly
-from clickloom.sources import sinks
+from clickloom.sources import sinks, snapshots
 
 # --- copies and hot keys ------------------------------------------------------------------------------
 
@@ -230,3 +230,70 @@ def test_an_append_during_a_merge_stays(spark, tmp_path, monkeypatch):
     sinks.remove_merged(spark, path)
     assert rows(sinks.read_metrics(spark, path), "global_step") == [(0,), (1,), (2,), (77,)]
     assert sinks.read_metrics(spark, path).first().extras[0].name == "a"
+
+
+# --- bucketed snapshots ---------------------------------------------------------------------------
+
+
+@pytest.fixture
+def item_slots(spark, tmp_path):
+    """A table of two days, the first written twice, and its values of the first day by id."""
+    table = f"item_slots_{os.path.basename(tmp_path).replace('-', '_')}"
+    snapshots.create_slot_table(spark, table, str(tmp_path / "slots"), S.ITEM_SLOTS, buckets=8)
+    first, *others = S.ITEM_SLOTS
+
+    def day(values):
+        made = spark.createDataFrame([(i, v) for i, v in values.items()], f"entity_id string, {first.column} string")
+        return made.withColumns({s.column: F.lit(s.default) for s in others})
+
+    values = {str(i): f"v{i}" for i in range(200)}
+    snapshots.publish_slots(day({"1": "old", "gone": "old"}), table, "2024-01-01")
+    snapshots.publish_slots(day({"1": "later"}), table, "2024-01-02")
+    snapshots.publish_slots(day(values), table, "2024-01-01")
+    yield table, values, first
+    spark.sql(f"drop table {table}")
+
+
+def test_a_published_day_replaces_that_day_only(spark, item_slots):
+    table, values, first = item_slots
+    assert snapshots.buckets_of(spark, table) == 8
+    assert dict(snapshots.slots_of_day(spark, table, "2024-01-01").select("entity_id", first.column).collect()) == values
+    assert rows(snapshots.slots_of_day(spark, table, "2024-01-02"), "entity_id", first.column) == [("1", "later")]
+    assert snapshots.slots_of_day(spark, table, "2024-01-03").count() == 0
+    files = [f for f in spark.table(table).where("ds = '2024-01-01'").inputFiles() if "2024-01-01" in f]
+    assert len(files) == 8  # one file for each bucket
+    with pytest.raises(ValueError):
+        snapshots.buckets_of(spark, _plain_table(spark, table))
+
+
+def _plain_table(spark, near):
+    spark.sql(f"create or replace temporary view {near}_plain as select 1 as x")
+    return f"{near}_plain"
+
+
+def test_bucketed_values_are_joined_where_they_lie(spark, item_slots):
+    table, values, first = item_slots
+    shown = [(i, "7" if i % 3 == 0 else None if i % 3 == 1 else str(i)) for i in range(600)]
+    left = spark.createDataFrame(shown, "n int, content_id string").withColumn("m", F.create_map(F.lit("k"), F.col("n")))
+    want = {n: values.get(c, first.default) for n, c in shown}
+    slots = snapshots.slots_of_day(spark, table, "2024-01-01")
+    hot = joins.hot_keys(left, "content_id", 50)
+    assert [r.content_id for r in hot.collect()] == ["7"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for keys in (None, hot):
+            got = feature_slots.attach_bucketed_slots(left, "content_id", slots, S.ITEM_SLOTS, keys)
+            assert got.columns == [*left.columns, *(s.column for s in S.ITEM_SLOTS)]
+            found = got.select("n", first.column).collect()
+            assert len(found) == len(shown) and dict(found) == want
+        plan = feature_slots.attach_bucketed_slots(left, "content_id", slots, S.ITEM_SLOTS)._jdf.queryExecution().executedPlan().toString()
+        # one exchange, of the rows: none lies between the table and the join
+        assert plan.count("Exchange hashpartitioning") == 1 and "Exchange hashpartitioning(_at" in plan
+        assert "Bucketed: true" in plan and "SelectedBucketsCount: 8 out of 8" in plan
+        # a third of the rows have one key, a third have none: the buckets' tasks stay even
+        marked = feature_slots.attach_bucketed_slots(left, "content_id", slots, S.ITEM_SLOTS, hot)
+        text = marked._jdf.queryExecution().analyzed().toString()
+        assert "_salt" in text and "_calm" in text
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

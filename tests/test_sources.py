@@ -1,5 +1,7 @@
+import dataclasses
 import datetime as dt
 import os
+import shutil
 
 import pytest
 from conftest import rows
@@ -7,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickloom import schemas as S
+from clickloom.operators import feature_slots
 from clickloom.plans import hourly_samples as hourly
-from clickloom.sources import delimited, logs, scratch, sinks, synthetic, trainlog
+from clickloom.sources import delimited, logs, scratch, sinks, snapshots, synthetic, trainlog
 
 SMALL = T.StructType([S.SAMPLE_SCHEMA["u_id"], S.SAMPLE_SCHEMA["u_topics"], S.SAMPLE_SCHEMA["i_pos"]])
 
@@ -166,6 +169,19 @@ def test_hourly_job_end_to_end(spark, tmp_path):
     assert got == [("05", "ud1", 1, 9, 0, 0.0), ("05", "ud1", 2, None, 1, 8.0),
                    ("06", "ud2", 1, 9, 0, 0.0), ("06", "ud2", 2, None, 1, 0.0)]
     assert rows(spark.read.text(str(tmp_path / "ids" / "2024-01-01" / "05"))) == [("1",), ("2",)]
+    # the same hour from bucketed slot values
+    snapshots.create_slot_table(spark, "hourly_test_slots", str(tmp_path / "slots"), S.ITEM_SLOTS, buckets=4)
+    made = feature_slots.slot_table(spark.createDataFrame(features, S.FEATURE_SNAPSHOT_SCHEMA), S.ITEM_SLOTS)
+    snapshots.publish_slots(made, "hourly_test_slots", "2024-01-01")
+    shutil.copytree(tmp_path / "items", tmp_path / "dated" / "ds=2024-01-01")
+    shutil.copytree(tmp_path / "profiles", tmp_path / "dated-profiles" / "ds=2024-01-01")
+    bucketed = dataclasses.replace(job, item_slots="hourly_test_slots", item_features=str(tmp_path / "dated"),
+                                   user_features=str(tmp_path / "dated-profiles"))
+    with pytest.raises(ValueError):
+        hourly.run_hour(spark, bucketed, "2024-01-01", "05")
+    assert hourly.run_hour(spark, dataclasses.replace(bucketed, snapshot_ds="2024-01-01"), "2024-01-01", "05") == reports["05"]
+    assert rows(spark.table("hourly_test"), "hh", "u_id", "u_content_id", "i_cate", "l_click", "l_read_time") == got
+    spark.sql("drop table hourly_test_slots")
     spark.sql("drop table hourly_test")
 
 

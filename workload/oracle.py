@@ -360,6 +360,9 @@ def _sample_column(name: str, kind: str) -> str:
 
 _cte("samples", "SELECT " + ", ".join(_sample_column(f.name, f.dataType.simpleString()) for f in SAMPLE_SCHEMA)
      + ", ds, hh FROM featured", "featured")
+for _name in ("item_enrichment", "user_enrichment"):
+    ORACLE[f"{_name}_bucketed"] = ORACLE[_name]
+
 ORACLE["full_samples"] = _with("samples") + "SELECT * FROM samples"
 ORACLE["full_samples_salted"] = ORACLE["full_samples"]
 ORACLE["sample_records"] = _with("featured") + f"""

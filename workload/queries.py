@@ -19,7 +19,7 @@ from clickloom.operators import (
 from clickloom.operators.joins import split_copies
 from clickloom.plans import hourly_samples as hourly
 from clickloom.plans import training
-from clickloom.sources import delimited, logs, sinks, synthetic, trainlog
+from clickloom.sources import delimited, logs, sinks, snapshots, synthetic, trainlog
 from clickloom.sources.scratch import scratch_path, stage
 from workload import views
 
@@ -346,6 +346,35 @@ def user_enrichment(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("row_id", "uid", feature_slots.slot_record(S.USER_SLOTS).alias("user_feature"))
 
 
+def _bucketed(spark: SparkSession, name: str, snapshot: DataFrame, slots: list[S.FeatureSlot]) -> DataFrame:
+    """A snapshot's slot values written to a bucketed table as one day beside an emptied other one, and read back."""
+    path = scratch_path(spark, name)
+    table = f"{name}_" + path.rsplit("-", 1)[1]
+    snapshots.create_slot_table(spark, table, path, slots, buckets=16)
+    made = feature_slots.slot_table(snapshot, slots)
+    snapshots.publish_slots(made, table, "2024-01-15")
+    snapshots.publish_slots(made.limit(0), table, "2024-01-16")
+    return snapshots.slots_of_day(spark, table, "2024-01-15")
+
+
+@query
+def item_enrichment_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of shown positions with the values of a bucketed snapshot, hot ones cut from 50 rows on."""
+    impressions = views.impressions(spark, sf)
+    rows = feature_slots.attach_bucketed_slots(
+        exposure.explode_positions(impressions), "content_id", _bucketed(spark, "item_slots", views.item_snapshot(spark, sf), S.ITEM_SLOTS),
+        S.ITEM_SLOTS, hourly.HotKeys.of(impressions, rows_per_task=50).items)
+    return rows.select("row_id", "content_id", "pos", feature_slots.slot_record(S.ITEM_SLOTS).alias("item_feature"))
+
+
+@query
+def user_enrichment_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of impressions with the values of a bucketed snapshot."""
+    rows = feature_slots.attach_bucketed_slots(
+        views.impressions(spark, sf), "uid", _bucketed(spark, "user_slots", views.user_snapshot(spark, sf), S.USER_SLOTS), S.USER_SLOTS)
+    return rows.select("row_id", "uid", feature_slots.slot_record(S.USER_SLOTS).alias("user_feature"))
+
+
 # --- samples -----------------------------------------------------------------------
 
 
