@@ -12,9 +12,15 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder the session names.
 
-    A session without that setting stages under its warehouse, which is shared as well.
+    A session without that setting stages under its warehouse. On a cluster that must not be a folder of the driver's
+    machine, as it is by default.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
+    base = spark.conf.get(CHECKPOINT_DIR, None)
+    if not base:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not spark.sparkContext.master.startswith("local") and warehouse.startswith(("/", "file:")):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share: the warehouse {warehouse} is a local folder")
+        base = f"{warehouse}/_staged"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,7 +1,7 @@
 """Documents to packed training rows: language ID, line dedup, near-dedup, decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. Edge cases are those of the operators: null and letterless
-texts go in the first stage, repeated documents in the third, documents that hold a benchmark passage in the fourth; an
+texts go in the first stage, which fills in missing languages and keeps all other texts where no document is labelled, repeated documents in the third, documents that hold a benchmark passage in the fourth; an
 empty table stays empty through all stages.
 """
 
@@ -17,10 +17,18 @@ from clickloom.llm.frames import stage
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter in their text go: no language can be told. What is labelled trains the model."""
+    """Documents without a letter in their text go: no language can be told. What is labelled trains the model.
+
+    Documents without a label get the language found. Where nothing is labelled no language can be learnt: then
+    texts with a letter stay, without a label.
+    """
     model = language_id.train(language_id.training_sample(docs, F.lit(True), "text", "lang"))
+    if not model.languages:
+        return docs.filter(F.col("text").cast("string").rlike(r"\p{L}"))
     found = language_id.identify(docs, model)
-    return found.filter(F.col(found.columns[-2]) != language_id.UNKNOWN).select(*docs.columns)
+    predicted = F.col(found.columns[-2])
+    known = found.filter(predicted != language_id.UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", predicted)).select(*docs.columns)
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
