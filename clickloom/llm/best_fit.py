@@ -4,7 +4,8 @@ Documents are measured in tokens (runs of characters other than white space, unl
 named). One longer than the capacity is cut into full pieces and a rest. Pieces are dealt evenly into shards
 of about SHARD_ROWS; a shard is packed in one task: largest first, each into the
 compatible bin that it fills most. A bin takes no two pieces of one source, and no two of one
-duplicate cluster (equal words in order, unless a cluster column is named); pieces of one document share both, so
+duplicate cluster (equal words in order in any case, unless a cluster column is named: classes of near copies are given
+that way, without one near copies may share a bin); pieces of one document share both, so
 they never share a bin.
 
 Bins are ordered by residual. Each residual has a bitmap of its bins, each source and each cluster
@@ -12,7 +13,7 @@ a bitmap of the bins that hold it; the compatible bins of a residual are the fir
 two. The search starts at the residual equal to the size and goes on to the next larger that
 has bins until one is compatible; of equal residuals the oldest bin wins.
 
-Edge cases: null and empty texts have size 0: they are placed as pieces of no tokens, in the
+Edge cases: null and empty texts, and null sizes of a size column, have size 0: they are placed as pieces of no tokens, in the
 fullest compatible bin; null sources conflict with nothing; documents without words are in no
 cluster; rows are not told apart by doc_id, so null and repeated ids are packed like others (repeated texts are one
 cluster); an empty table has no rows; further columns are not read.
@@ -100,7 +101,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, doc_id: str = "doc_id", text
     """(doc_id, piece, start_token, n_tokens, bin_id, bin_offset, bin_tokens): one row per piece."""
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(source).cast("string")).alias("source_hash"),
-        F.col(source).isNull().alias("no_source"), (size if size is not None else n_tokens(text)).cast("long").alias("size"),
+        F.col(source).isNull().alias("no_source"), F.coalesce((size if size is not None else n_tokens(text)).cast("long"), F.lit(0)).alias("size"),
         (cluster if cluster is not None else word_cluster(text)).alias("cluster"))
     pieces = F.greatest(F.lit(1), F.ceil(F.col("size") / capacity)).cast("int")
     rows = rows.select(

@@ -685,6 +685,25 @@ def test_pipeline_of_edge_cases(spark, docs, none, items, tmp_path):
         assert bool(frame.count()) == some
 
 
+def test_null_sizes_are_packed_as_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b", None, 2048), (2, "c", None, None), (3, "d", None, 5)], "doc_id long, text string, source string, size int")
+    placed = best_fit.pack(docs, size=F.col("size")).collect()
+    assert {(r.doc_id, r.n_tokens) for r in placed} == {(1, 2048), (2, 0), (3, 5)} and max(r.bin_tokens for r in placed) == 2048
+
+
+def test_first_stage_of_the_pipeline_without_labels(spark):
+    import corpus_pipeline
+
+    rows = [(1, PROSE, None), (2, "1234 !", None), (3, None, None), (4, "", None), (5, "чистый текст", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert {(r.doc_id, r.lang) for r in kept.collect()} == {(1, None), (5, None)} and kept.columns == docs.columns
+    labelled = docs.unionByName(spark.createDataFrame([(6, PROSE, "en"), (7, "ещё один чистый текст", "ru")], docs.schema))
+    kept = corpus_pipeline.known_language(spark, labelled, "")
+    assert {(r.doc_id, r.lang) for r in kept.collect()} == {(1, "en"), (5, "ru"), (6, "en"), (7, "ru")}
+    assert corpus_pipeline.known_language(spark, docs.filter("false"), "").count() == 0
+
+
 def test_strings_of_a_flooded_text_are_cut_in_bounded_memory():
     """2 MB whose every string is routed one by one: 200 MB come out, far less is held at a time."""
     import tracemalloc
