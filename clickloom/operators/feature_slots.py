@@ -56,13 +56,18 @@ def parse_values(snapshot: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFra
     )
 
 
+_DEALT = "_dealt"
+
+
 def fill_slots(values: DataFrame, slots: Sequence[S.FeatureSlot]) -> DataFrame:
     """One row per entity with a column per slot; the last occurrence of a name wins.
 
-    A single aggregation: partial results are merged before the shuffle, so an
-    entity with a large share of the rows costs no more than another.
+    Text is folded by sorting, so values are first dealt by entity: no task sorts all that one file of a snapshot holds. They are
+    dealt by a hash of the id, which leaves Spark free to cut a large partition; each part is folded and the few rows left
+    are merged, so an entity with a large share of the rows costs no more than another.
     """
-    return values.groupBy("entity_id").agg(*[
+    dealt = values.withColumn(_DEALT, F.xxhash64("entity_id")).hint("rebalance", _DEALT)
+    return dealt.groupBy("entity_id").agg(*[
         F.expr(
             f"coalesce(max_by(if(feature_name = '{s.feature}', value, null),"
             f" if(feature_name = '{s.feature}', ord, null)), '{s.default}') as {s.column}"

@@ -297,3 +297,21 @@ def test_bucketed_values_are_joined_where_they_lie(spark, item_slots):
         assert "_salt" in text and "_calm" in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_slot_values_are_dealt_before_they_are_folded(spark):
+    """A file's values are not sorted in one task; the last one of a name wins, wherever its rows lie."""
+    names = [s.feature for s in S.ITEM_SLOTS[:2]]
+    values = spark.range(4000).selectExpr(
+        "cast(id % 7 as string) as entity_id", "cast(id div 14 as int) as ord", f"if(id div 7 % 2 = 0, '{names[0]}', '{names[1]}') as feature_name",
+        "cast(id as string) as value").coalesce(1)
+    values = values.union(spark.createDataFrame([(None, 1, names[0], "n")], values.schema))
+    filled = feature_slots.fill_slots(values, S.ITEM_SLOTS[:2])
+    plan = filled._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("Exchange") > plan.rindex("Aggregate")
+    first, second = (s.column for s in S.ITEM_SLOTS[:2])
+    last = {r.entity_id: (r[first], r[second]) for r in filled.collect()}
+    assert len(last) == 8 and last.pop(None) == ("n", S.ITEM_SLOTS[1].default)
+    for entity, found in last.items():
+        mine = [i for i in range(4000) if str(i % 7) == entity]
+        assert found == tuple(str(max(i for i in mine if i // 7 % 2 == k)) for k in (0, 1))
