@@ -228,6 +228,24 @@ def test_a_fit_over_classes_of_places_is_that_over_all_places(spark):
     assert 0 < never.sum() < small.width() and not by_classes.coefficients.toArray()[never].any()
 
 
+def test_rows_of_one_task_are_spread_before_a_fit(spark, monkeypatch):
+    """A file of one row group would leave every step of the optimizer to one task."""
+    files, staged = [], training.stage
+
+    def seen(frame, name):
+        found = staged(frame, name)
+        files.append((name, len(found.inputFiles())))
+        return found
+
+    monkeypatch.setattr(training, "stage", seen)
+    hashed = ", ".join(f"xxhash64(id, {i}) as {c}" for i, c in enumerate(encoding.HASH_SIZES))
+    data = spark.sql(f"select {hashed}, cast(id % 3 = 0 as int) as label from range(0, 60000, 1, 1)")
+    small = encoding.EncoderSpec(hashed=dict.fromkeys(encoding.HASH_SIZES, 5), crossed={})
+    model = training.fit(data, training.WIDE, training.TrainingSpec(encoder=small, max_iter=2))
+    assert dict(files)["encoded"] > 1
+    assert model.stages[-1].getOrDefault("maxBlockSizeInMB") == 32.0
+
+
 def test_places_of_the_same_rows_are_one_class(spark):
     frame = spark.createDataFrame([(1, [0, 2, 5]), (2, [0, 3, 5]), (3, [0, 3, 9]), (4, []), (5, None)], "id long, p array<long>")
     found = training.place_classes(frame, "p", "id", 10)
