@@ -142,6 +142,12 @@ def _layered(rows: DataFrame, *layers: Mapping[str, str]) -> DataFrame:
     return rows.selectExpr(*[f"`{c}`" for c in kept], *[f"{sql} as `{name}`" for name, sql in layers[-1].items()])
 
 
+def _in_small_methods(array: str) -> str:
+    """The same array. Spark cuts the code of a projection with a lambda into methods, each small enough to be compiled,
+    in any session; without, one method holds all ids and stays interpreted unless ``hugeMethodLimit`` is lowered."""
+    return f"transform({array}, p -> p)"
+
+
 def add_hash_ids(rows: DataFrame, spec: EncoderSpec = EncoderSpec()) -> DataFrame:
     return _layered(rows, spec.hashes(), spec.hash_ids())
 
@@ -163,7 +169,7 @@ def add_wide_positions(rows: DataFrame, spec: EncoderSpec = EncoderSpec(), name:
     """Array of the positions that are 1 in the wide vector, ascending: offset plus id of each column."""
     ids = [*spec.hash_ids().values(), *spec.cross_ids().values()]
     positions = [f"{start}L + {sql}" for start, sql in zip(spec.offsets(), ids, strict=True)]
-    return _layered(rows, spec.hashes(), {name: f"array({', '.join(positions)})"})
+    return _layered(rows, spec.hashes(), {name: _in_small_methods(f"array({', '.join(positions)})")})
 
 
 def positions_statement(spec: EncoderSpec, name: str) -> str:
@@ -171,7 +177,7 @@ def positions_statement(spec: EncoderSpec, name: str) -> str:
     hashes = ", ".join(f"{sql} as `{c}`" for c, sql in spec.hashes().items())
     ids = [*spec.hash_ids().values(), *spec.cross_ids().values()]
     places = ", ".join(f"{start}L + {sql}" for start, sql in zip(spec.offsets(), ids, strict=True))
-    return f"select *, array({places}) as `{name}` from (select *, {hashes} from __THIS__)"
+    return f"select *, {_in_small_methods(f'array({places})')} as `{name}` from (select *, {hashes} from __THIS__)"
 
 
 def encode_statement(spec: EncoderSpec, crosses: bool) -> str:

@@ -74,6 +74,13 @@ def test_wide_positions_fall_in_their_columns(spark, method):
     assert not [c for c in both.columns if c.startswith("_")]
 
 
+def test_wide_positions_are_cut_in_small_methods(spark):
+    """One method for all ids is too long to be compiled with Spark's default limit."""
+    placed = encoding.add_wide_positions(training_rows(spark, 5))
+    assert not placed._jdf.queryExecution().executedPlan().toString().startswith("*")
+    assert [len(r.wide) for r in placed.collect()] == [33] * 5
+
+
 def test_crosses_spread_and_depend_on_the_order(spark):
     spec = encoding.EncoderSpec(hashed={}, crossed={("a", "b"): 1000, ("b", "a"): 1000})
     data = spark.range(20000).selectExpr("id % 200 as a", "id div 200 as b")
