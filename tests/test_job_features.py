@@ -82,6 +82,22 @@ def test_trigger_equals_a_step_by_step_one(spark, gap, chunk):
     assert {k: sorted(v) for k, v in got.items()} == want
 
 
+def test_small_chunks_of_a_trigger_are_worked_on_together(spark):
+    """Chunks that end in the middle of batches, far apart and below zero; none has a call of its own."""
+    rng = random.Random(3)
+    steps = {run: [*rng.sample(range(-500, 4000), 300), 10 ** 12 + run] for run in range(6)}
+    frame = spark.createDataFrame([(r, s) for r, many in steps.items() for s in many], "run int, step long").coalesce(1)
+    taken = triggers.triggered(frame, F.col("step"), 11, ["run"], 37)
+    plan = taken._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "FlatMapGroupsInArrow" not in plan
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((r.run, r._at) for r in triggers.triggered(frame, F.col("step"), 11, ["run"], 37).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == [(run, s) for run in range(6) for s in plainly(steps[run], 11)]
+
+
 def test_trigger_rows_and_arguments(spark):
     at = dt.datetime(2024, 1, 1)
     metrics = spark.createDataFrame(
