@@ -13,6 +13,7 @@ from clickloom import schemas as S
 from clickloom.operators import audience, evaluation, feature_slots, joins, runlog, triggers
 from clickloom.plans import hourly_samples as hourly
 from clickloom.sources import sinks, snapshots
+from workload import views
 
 # --- copies and hot keys ------------------------------------------------------------------------------
 
@@ -331,3 +332,14 @@ def test_slot_values_are_dealt_before_they_are_folded(spark):
     for entity, found in last.items():
         mine = [i for i in range(4000) if str(i % 7) == entity]
         assert found == tuple(str(max(i for i in mine if i // 7 % 2 == k)) for k in (0, 1))
+
+
+def test_snapshot_rows_are_spread_before_their_values_are_made(spark, tmp_path):
+    parts = spark.range(60).selectExpr("if(id = 3, null, id % 50) as p_partkey", "concat('red ', id) as p_name", "'b' as p_brand", "'t' as p_type",
+                                       "cast(id % 8 + 1 as int) as p_size", "id * 1.5D as p_retailprice").coalesce(1)
+    parts.write.parquet(str(tmp_path / "part.parquet"))
+    made = views.item_snapshot(spark, str(tmp_path))
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("REBALANCE_PARTITIONS_BY_NONE") < plan.index("Scan parquet")
+    named = made.where("feature_name = 'd_dy_2_subcategory' and ord = 2 or ord = 1")
+    assert named.count() == 60 and named.where("entity_id is null").count() == 1

@@ -150,8 +150,10 @@ def _value(ord_: int, name: str, when: str | None = None, string: str = "null",
 
 
 def _long_form(rows: DataFrame, entity: str, errcode: str, values: list[str]) -> DataFrame:
+    # a small file with one row group is one task's to read; the values, many for each of its rows, are made by all
     return (
-        rows.selectExpr(f"cast({entity} as string) as entity_id", f"cast({errcode} as int) as errcode",
+        rows.hint("rebalance")
+        .selectExpr(f"cast({entity} as string) as entity_id", f"cast({errcode} as int) as errcode",
                         f"explode_outer(array({', '.join(values)})) as v")
         .where("v is not null")
         .select("entity_id", "errcode", "v.*")
