@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions import records
 from clickloom.operators import batching, encoding, evaluation, runlog
-from clickloom.plans import training
+from clickloom.plans import optimizers, training
 
 
 # --- batches ----------------------------------------------------------------------
@@ -235,6 +235,59 @@ def test_a_fit_over_classes_of_places_is_that_over_all_places(spark):
     assert 0 < never.sum() < small.width() and not by_classes.coefficients.toArray()[never].any()
 
 
+def uneven_rows(spark, n=3000):
+    """Features of few and of many values, and a label that both kinds tell of."""
+    features = ", ".join(f"xxhash64(id, {i}) % {(3, 40, 2000)[i % 3]} as {c}" for i, c in enumerate(encoding.HASH_SIZES))
+    return spark.sql(f"select *, cast(fea9 + fea15 div 13 + id % 7 div 5 > 1 as int) as label from (select id, {features} from range(0, {n}, 1, 3))")
+
+
+def test_the_wide_fit_gets_to_its_minimum_in_a_few_steps(spark):
+    """Rare and frequent places differ in curvature: a fit that is not scaled by it is far off after as many steps."""
+    small = encoding.EncoderSpec(hashed=dict.fromkeys(encoding.HASH_SIZES, 50), crossed=dict.fromkeys(encoding.CROSS_SIZES, 3000))
+    spec = training.TrainingSpec(encoder=small, max_iter=12)
+    train = uneven_rows(spark)
+    model = training.fit(train, training.WIDE, spec)
+    placed = model.stages[0].transform(train).select("label", "wide_positions").collect()
+    weights, y = model.stages[-1].coefficients.toArray(), np.array([r.label for r in placed])
+    at = np.array([r.wide_positions for r in placed])
+    off = (1 / (1 + np.exp(-weights[at].sum(axis=1) - model.stages[-1].intercept)) - y) / len(y)
+    gradient = np.bincount(at.ravel(), np.repeat(off, at.shape[1]), len(weights)) + spec.reg * weights
+    # the loss is convex by its penalty, so this bounds how far it is from the least; the first loss is below ln 2
+    assert (gradient @ gradient + off.sum() ** 2) / (2 * spec.reg) < spec.tolerance * np.log(2)
+
+
+def test_sums_of_blocks_are_cut_by_ranges(spark, monkeypatch):
+    monkeypatch.setattr(optimizers, "RANGE_PLACES", 7)
+    rows = [(float(i % 2), (0, 30, sorted({i % 30, i * i % 30, 29}), [float(i), 1.0, 2.0][:len({i % 30, i * i % 30, 29})])) for i in range(200)]
+    rows += [(1.0, (0, 30, [], [])), (0.0, (1, None, None, [0.5] * 30))]
+    kind = "label double, v struct<type: tinyint, size: int, indices: array<int>, values: array<double>>"
+    want = np.zeros(30)
+    for _, (kind_of, _, places, values) in rows:
+        want[places if kind_of == 0 else slice(None)] += values
+    blocks = optimizers.packed(spark.createDataFrame(rows, kind).repartition(5), "label", "v")
+
+    def add(block, total):
+        y, lengths, occur, at, x = block
+        assert len(y) == len(lengths) and lengths.sum() == len(at) == len(x)
+        np.add.at(total, occur[at], x)
+
+    assert blocks.getNumPartitions() > 1
+    assert optimizers.summed(blocks, add, 30) == pytest.approx(want)
+    assert optimizers.label_counts(blocks) == (202, 101, 101)
+    blocks.unpersist()
+
+
+def test_labels_of_one_kind_are_left_to_sparks_learner(spark):
+    small = encoding.EncoderSpec(hashed=dict.fromkeys(encoding.HASH_SIZES, 5), crossed={})
+    spec = training.TrainingSpec(encoder=small, deep_iter=2)
+    ones = uneven_rows(spark, 60).withColumn("label", F.lit(1))
+    wide = training.fit(ones, training.WIDE, spec).stages[-1]
+    assert wide.intercept == float("inf") and not wide.coefficients.toArray().any()
+    assert training.fit(ones, training.DEEP, spec).stages[-1].numClasses == 2
+    with pytest.raises(Exception, match="(?i)label"):
+        training.fit(ones.withColumn("label", F.expr("if(id = 3, null, 1)")), training.WIDE, spec)
+
+
 def test_rows_of_one_task_are_spread_before_a_fit(spark, monkeypatch):
     """A file of one row group would leave every step of the optimizer to one task."""
     files, staged = [], training.stage
