@@ -4,6 +4,7 @@ import os
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
@@ -277,6 +278,35 @@ def test_sums_of_blocks_are_cut_by_ranges(spark, monkeypatch):
     blocks.unpersist()
 
 
+def test_the_deep_fit_is_that_of_sparks_perceptron(spark, monkeypatch):
+    """The same steps from the same start, none of them by Spark's products of rows in small blocks."""
+    spec = training.TrainingSpec(deep_iter=12, partitions=1)
+    train = uneven_rows(spark, 1300)
+    theirs = training.build_pipeline(training.DEEP, spec).fit(train.coalesce(1))
+    steps, plain = [], training.MultilayerPerceptronClassifier.fit
+
+    def counted(learner, rows, *params):
+        steps.append(learner.getMaxIter())
+        return plain(learner, rows, *params)
+
+    monkeypatch.setattr(training.MultilayerPerceptronClassifier, "fit", counted)
+    ours = training.fit(train, training.DEEP, spec)
+    start = training.fit(train, training.DEEP, training.TrainingSpec(deep_iter=0))
+    assert steps == [0, 0]
+    got, want, begun = (m.stages[-1].weights.toArray() for m in (ours, theirs, start))
+    assert got == pytest.approx(want, abs=1e-6) and abs(want - begun).max() > 0.01
+    assert ours.stages[-1].getLayers() == theirs.stages[-1].getLayers() == [88, 100, 75, 50, 25, 2, 2]
+    loss = training.score(ours, train, training.DEEP, ["label"]).agg(F.avg(F.expr("-ln(if(label = 1, score, 1 - score))"))).first()[0]
+    # the loss is that of the model
+    vectors = PipelineModel(ours.stages[:-1]).transform(train).select("label", "deep_features").collect()
+    stored = spark.createDataFrame([(float(r.label), (0, 88, r.deep_features.toArray().nonzero()[0].tolist(), [1.0] * 11)) for r in vectors],
+                                   "label double, v struct<type: tinyint, size: int, indices: array<int>, values: array<double>>")
+    blocks = optimizers.packed(stored, "label", "v")
+    weights, found = optimizers.fit_perceptron(blocks, [88, *training.HIDDEN_LAYERS, 2], ours.stages[-1].weights.toArray(), 0.0, 0, stack=1)
+    blocks.unpersist()
+    assert weights.tolist() == ours.stages[-1].weights.toArray().tolist() and found == [pytest.approx(loss, rel=1e-9)]
+
+
 def test_labels_of_one_kind_are_left_to_sparks_learner(spark):
     small = encoding.EncoderSpec(hashed=dict.fromkeys(encoding.HASH_SIZES, 5), crossed={})
     spec = training.TrainingSpec(encoder=small, deep_iter=2)
