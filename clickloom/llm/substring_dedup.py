@@ -11,7 +11,7 @@ input. Suffix arrays find the repeats; so that equal strings meet in one array,
    bytes to shards of the anchor's hash: bounded suffix arrays by induced sorting, whose permuted common prefixes
    of ``length`` or more group the strings; all but the earliest of a group are removed.
    An anchor of more than ``most_pieces`` pieces is routed string by string instead, by
-   the hash of each string, so it spreads over all shards whole.
+   the hash of each string, so it spreads over all shards whole; a string that no other has the hash of needs no array.
 3. Removed spans are united per document and cut out.
 
 Edge cases: null texts are empty; a null doc_id is smaller than any other; rows that repeat a doc_id and its text
@@ -276,60 +276,102 @@ def repeats_by_suffix_array(data: np.ndarray, offsets: np.ndarray, rank: np.ndar
     return found - piece[found]  # without the separators
 
 
+def _shard_spans(rows: list[pa.RecordBatch], length: int) -> pa.RecordBatch:
+    """(doc, ident, start, n): the bytes to remove, from a suffix array over some whole anchors."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    data, offsets = text_buffer(table.column("bytes"))
+    doc, ident, start = (table.column(c).to_numpy() for c in ("doc", "ident", "start"))
+    # documents in order, each with room for its places
+    by = np.lexsort((ident, doc))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (doc[by][1:] != doc[by][:-1]) | (ident[by][1:] != ident[by][:-1])
+    number = np.empty(len(by), dtype=np.int64)
+    number[by] = np.cumsum(new)
+    found = repeats_by_suffix_array(data, offsets, (number << 40) + start, length)
+    piece = np.searchsorted(offsets, found, side="right") - 1
+    at = start[piece] + found - offsets[piece]
+    row, s, e = _union(piece, at, at + length)
+    return _batch("doc ident start n", doc[row], ident[row], s, e - s)
+
+
+def sorted_repeats(batches: Iterator[pa.RecordBatch], length: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
+    """(doc, ident, start, n) of the repeats in pieces that are sorted by anchor and place.
+
+    Strings routed one by one, whose anchor is their own hash, are compared with the first of their anchor: one that equals it is
+    a repeat. Whatever is then alone in its anchor repeats nothing; all others go to suffix arrays.
+    """
+    held: list[pa.RecordBatch] = []  # whole anchors of the next array
+    pending: list[pa.RecordBatch] = []  # what is left of the anchor at hand
+    size, first = 0, None  # bytes held; the anchor at hand and its first string, if it has but one
+
+    def solved(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """Whole anchors, to arrays of about ``shard_bytes``."""
+        nonlocal held, size
+        anchor, (_, at) = part.column("anchor").to_numpy(), text_buffer(part.column("bytes"))
+        ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+        begin = 0
+        while begin < part.num_rows:
+            k = int(np.searchsorted(at[ends], at[begin] + shard_bytes - size))
+            end = int(ends[min(k, len(ends) - 1)])
+            held.append(part.slice(begin, end - begin))
+            size += int(at[end] - at[begin])
+            begin = end
+            if size >= shard_bytes:
+                yield _shard_spans(held, length)
+                held, size = [], 0
+
+    def closed() -> Iterator[pa.RecordBatch]:
+        nonlocal pending
+        if sum(p.num_rows for p in pending) > 1:
+            yield from solved(pa.Table.from_batches(pending).combine_chunks().to_batches()[0])
+        pending = []
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        anchor, alone = batch.column("anchor").to_numpy(), batch.column("n").to_numpy() == 1
+        data, at = text_buffer(batch.column("bytes"))
+        begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+        counts = np.diff(np.append(begins, len(anchor)))
+        goes_on = int(counts[0]) if first is not None and anchor[0] == first[0] else 0  # rows of the last batch's last anchor
+        if not goes_on:
+            yield from closed()
+        head = np.repeat(begins, counts)
+        alike = alone & alone[head] & (np.arange(len(anchor)) != head)
+        if goes_on:
+            alike[:goes_on] = alone[:goes_on] & (first[1] is not None)
+        alike = np.flatnonzero(alike)
+        inner = np.arange(length)
+        theirs = data[at[head[alike]][:, None] + inner]
+        if goes_on and first[1] is not None:
+            theirs[alike < goes_on] = first[1]
+        stays = np.ones(len(anchor), dtype=bool)
+        stays[alike[(data[at[alike][:, None] + inner] == theirs).all(axis=1)]] = False
+        if not stays.all():
+            lost = batch.filter(pa.array(~stays))
+            yield pa.RecordBatch.from_arrays([lost.column("doc"), lost.column("ident"), lost.column("start"),
+                                              pa.array(np.full(lost.num_rows, length, np.int64))],
+                                             names=["doc", "ident", "start", "n"])
+        last = int(begins[-1])
+        if goes_on and last:
+            pending.append(batch.slice(0, goes_on).filter(pa.array(stays[:goes_on])))
+            yield from closed()
+        several = stays & np.repeat(np.add.reduceat(stays, begins, dtype=np.int64) > 1, counts)
+        several[:goes_on] = several[last:] = False
+        if several.any():
+            yield from solved(batch.filter(pa.array(several)))
+        pending.append(batch.slice(last).filter(pa.array(stays[last:])))
+        if last or not goes_on:
+            first = (anchor[-1], data[at[last]:at[last + 1]].copy() if alone[last] else None)
+    yield from closed()
+    if held:
+        yield _shard_spans(held, length)
+
+
 def shard_repeats(pieces: DataFrame, length: int, shard_bytes: int) -> DataFrame:
     """(doc, ident, start, n): the bytes to remove, from suffix arrays over whole anchors, about ``shard_bytes`` each."""
-    def solve(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        table = pa.Table.from_batches(rows).combine_chunks()
-        data, offsets = text_buffer(table.column("bytes"))
-        doc, ident, start = (table.column(c).to_numpy() for c in ("doc", "ident", "start"))
-        # documents in order, each with room for its places
-        by = np.lexsort((ident, doc))
-        new = np.ones(len(by), dtype=bool)
-        new[1:] = (doc[by][1:] != doc[by][:-1]) | (ident[by][1:] != ident[by][:-1])
-        number = np.empty(len(by), dtype=np.int64)
-        number[by] = np.cumsum(new)
-        found = repeats_by_suffix_array(data, offsets, (number << 40) + start, length)
-        piece = np.searchsorted(offsets, found, side="right") - 1
-        at = start[piece] + found - offsets[piece]
-        row, s, e = _union(piece, at, at + length)
-        return _batch("doc ident start n", doc[row], ident[row], s, e - s)
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size, first = 0, None  # bytes held; the last anchor and its first string if strings are routed one by one
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            anchor, n = batch.column("anchor").to_numpy(), batch.column("n").to_numpy()
-            _, at = text_buffer(batch.column("bytes"))
-            cut = np.append(np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1])), len(anchor))
-            keep, gone = [], []
-            for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                if first is None or anchor[a] != first[0]:
-                    if size >= shard_bytes:
-                        if keep:
-                            held.append(batch.take(pa.array(keep)))
-                        yield solve(held)
-                        held, keep, size = [], [], 0
-                    first = (anchor[a], batch.column("bytes")[a] if n[a] == 1 else None)
-                    keep.append(a)
-                    a += 1
-                for i in range(a, b):
-                    # the same string again, in order of place: it needs no array
-                    if first[1] is not None and n[i] == 1 and batch.column("bytes")[i] == first[1]:
-                        gone.append(i)
-                    else:
-                        keep.append(i)
-                size += int(at[b] - at[a - 1 if a else 0])
-            if gone:
-                lost = batch.take(pa.array(gone))
-                yield pa.RecordBatch.from_arrays([lost.column("doc"), lost.column("ident"), lost.column("start"),
-                                                  pa.array(np.full(len(gone), length, np.int64))],
-                                                 names=["doc", "ident", "start", "n"])
-            if keep:
-                held.append(batch.take(pa.array(keep)))
-        if held:
-            yield solve(held)
+        yield from sorted_repeats(batches, length, shard_bytes)
 
     dealt = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc", "ident", "start")
     return dealt.mapInArrow(work, f"{_PLACE}, n long")

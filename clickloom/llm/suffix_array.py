@@ -5,9 +5,9 @@ all bytes, and ordered by place, so no common prefix runs over a string's end.
 
 Suffixes are classified (S if smaller than the next one, else L); the leftmost S of each run (LMS)
 cuts the text into substrings, which one round of induced sorting puts in order; equal ones get
-equal names and the string of names, at most half as long, is sorted by recursion; from the order of its
-suffixes that of all is induced linearly. On the text itself a whole bucket of one byte is induced at
-a time in numpy; the recursion, whose alphabet is large and whose text is short, scans entry by entry.
+equal names and the suffixes of the string of names, at most half as long, are sorted by doubling; from their
+order that of all is induced linearly, a whole bucket of one byte at a time. Induction and doubling are numpy over
+whole arrays; doubling takes a round more for each doubling of the longest common prefix.
 """
 
 from __future__ import annotations
@@ -111,46 +111,33 @@ class _Buckets:
         return out
 
 
-def _recursive(s: np.ndarray) -> np.ndarray:
-    """Suffix array of a text of small whole numbers, entry by entry."""
-    n = len(s)
-    if n == 1:
-        return np.zeros(1, dtype=np.int64)
-    is_s = _types(s)
-    lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    size = np.bincount(s)
-    tail = np.cumsum(size)
-    head = tail - size
-    text, small = s.tolist(), is_s.tolist()
-
-    def induce(order: np.ndarray) -> np.ndarray:
-        out, end = [-1] * n, tail.tolist()
-        for i in order[::-1].tolist():
-            c = text[i]
-            end[c] -= 1
-            out[end[c]] = i
-        start = head.tolist()
-        c = text[n - 1]
-        out[start[c]] = n - 1
-        start[c] += 1
-        for i in range(n):
-            j = out[i] - 1
-            if j >= 0 and not small[j]:
-                c = text[j]
-                out[start[c]] = j
-                start[c] += 1
-        end = tail.tolist()
-        for i in range(n - 1, -1, -1):
-            j = out[i] - 1
-            if j >= 0 and small[j]:
-                c = text[j]
-                end[c] -= 1
-                out[end[c]] = j
-        return np.array(out, dtype=np.int64)
+def _doubled(s: np.ndarray) -> np.ndarray:
+    """Suffix array of a text of small whole numbers: suffixes in order of their first k numbers are put in that of 2k.
 
-    if not len(lms):
-        return induce(lms)
-    return induce(_sorted_lms(s, lms, induce(lms)))
+    Only suffixes that are not yet told apart are sorted again, so rounds and rows end with the longest common prefix.
+    """
+    n = len(s)
+    order = np.argsort(s, kind="stable")
+    head = np.empty(n, dtype=bool)  # places of the order where a group of equals begins
+    head[:1] = True
+    head[1:] = s[order[1:]] != s[order[:-1]]
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.maximum.accumulate(np.where(head, np.arange(n), 0))
+    open_, k = np.flatnonzero(~head | ~np.append(head[1:], True)), 1
+    while len(open_):
+        items = order[open_]
+        after = items + k
+        key = rank[items] * (n + 1)
+        inside = after < n  # the end of the text is smaller than all
+        key[inside] += rank[after[inside]] + 1
+        by = np.argsort(key)
+        items, key = items[by], key[by]
+        order[open_] = items
+        fresh = np.append(True, key[1:] != key[:-1])
+        rank[items] = np.maximum.accumulate(np.where(fresh, open_, 0))
+        open_ = open_[~fresh | ~np.append(fresh[1:], True)]
+        k *= 2
+    return order
 
 
 def _sorted_lms(s: np.ndarray, lms: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -161,7 +148,7 @@ def _sorted_lms(s: np.ndarray, lms: np.ndarray, first: np.ndarray) -> np.ndarray
     names = _names(s, lms, order)
     if names.max() + 1 == len(lms):
         return order
-    return lms[_recursive(names)]
+    return lms[_doubled(names)]
 
 
 def suffix_array(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -616,6 +616,58 @@ def test_suffix_arrays():
             assert before[b] == a and common[b] == k
 
 
+def test_suffix_arrays_scan_no_entry_in_python():
+    rng = random.Random(13)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 6))) for _ in range(40)]
+    strings = [" ".join(rng.choice(words) for _ in range(25)).encode() for _ in range(200)]
+    strings += [strings[0] * 9, strings[0] * 7, b"ab" * 40, b"aab" * 30, b"a" * 60]
+    at = np.concatenate([[0], np.cumsum([len(s) for s in strings])]).astype(np.int64)
+    lines = 0
+
+    def count(frame, event, _):
+        nonlocal lines
+        lines += event == "line"
+        return count if frame.f_code.co_filename == suffix_array.__file__ else None
+
+    before = sys.gettrace()
+    sys.settrace(count)
+    text, order = suffix_array.suffix_array(np.frombuffer(b"".join(strings), dtype=np.uint8), at)
+    sys.settrace(before)
+    whole = text.tolist()
+    assert order.tolist() == sorted(range(len(whole)), key=lambda i: whole[i:])
+    assert lines < len(whole) / 2
+
+
+def test_strings_without_a_fellow_go_to_no_suffix_array(monkeypatch):
+    length, rng = 12, random.Random(14)
+    made = lambda n: bytes(rng.randrange(97, 101) for _ in range(n))
+    shared, other = made(30), made(30)
+    groups = {1: [made(12)], 2: [b := made(12), b, b, b], 3: [made(12), made(12)], 4: [made(20)], 5: [shared, made(9) + shared[3:22]],
+              6: [made(12)], 7: [made(12), made(12), b := made(12), b], 8: [made(12), other, other[:12]], 9: [made(12)]}
+    listed = [(k, x, 40 - i, 100 * k + i, 1000 * k, len(x) - length + 1) for k, some in groups.items() for i, x in enumerate(some)]
+    listed.sort(key=lambda r: (r[0], r[2]))
+    table = pa.table({c: pa.array(x, pa.binary() if c == "bytes" else pa.int64()) for c, x in zip("anchor bytes doc ident start n".split(), zip(*listed, strict=True), strict=True)})
+    want, seen = set(), {}
+    for k, x, doc, ident, start, n in sorted(listed, key=lambda r: r[2:5]):
+        for i in range(n):
+            at = (k, x[i:i + length])
+            if seen.setdefault(at, (doc, ident, start + i)) != (doc, ident, start + i):
+                want.update((doc, ident, start + i + j) for j in range(length))
+    sorted_bytes, plain_array = [], suffix_array.suffix_array
+    monkeypatch.setattr(substring_dedup, "suffix_array", lambda data, at: sorted_bytes.append(data.tobytes()) or plain_array(data, at))
+    for rows in (1, 2, 3, 100):
+        for shard in (10, 60, 10_000):
+            sorted_bytes.clear()
+            got = set()
+            for batch in substring_dedup.sorted_repeats(iter(table.to_batches(max_chunksize=rows)), length, shard):
+                for r in batch.to_pylist():
+                    got.update((r["doc"], r["ident"], r["start"] + j) for j in range(r["n"]))
+            assert got == want
+            arrays = b"|".join(sorted_bytes)
+            assert not any(groups[k][0] in arrays for k in (1, 2, 4, 6, 9))
+            assert len(arrays.replace(b"|", b"")) == sum(len(x) for k in (3, 5, 7, 8) for x in groups[k]) - length  # of 7, one repeat is told before
+
+
 def _removed(frame, **options):
     rows = substring_dedup.dedup_substrings(frame, **options).collect()
     return sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.starts), plain.sha(bytes(r.kept))) for r in rows), key=repr)
