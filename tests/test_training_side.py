@@ -278,6 +278,60 @@ def test_sums_of_blocks_are_cut_by_ranges(spark, monkeypatch):
     blocks.unpersist()
 
 
+def test_long_sums_take_a_task_for_each_core_and_leave_no_files(spark, monkeypatch):
+    """Else each pass writes a vector for each partition, and all passes' files stay until the JVM collects garbage."""
+    monkeypatch.setattr(optimizers, "RANGE_PLACES", 100)
+    cores, disk = spark.sparkContext.defaultParallelism, spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return {f for f in disk.getAllFiles().mkString("\n").split("\n") if os.path.basename(f).startswith("shuffle_")}
+
+    blocks = spark.sparkContext.parallelize(range(5 * cores), 5 * cores).persist()
+    tasks, before = spark.sparkContext.accumulator(0), shuffled()
+
+    def once(_, items):
+        tasks.add(1)
+        yield from items
+
+    def add(block, total):
+        total[block::7] += 1
+
+    want = np.zeros(500)
+    for k in range(5 * cores):
+        add(k, want)
+    assert optimizers.summed(blocks, add, 500, before=once).tolist() == want.tolist()
+    taken = spark.sparkContext.broadcast(np.arange(3, 500, 4))
+    assert optimizers.summed(blocks, add, 500, taken, np.int64).tolist() == want[3::4].tolist()
+    assert tasks.value == cores
+    assert shuffled() <= before
+    blocks.unpersist()
+
+
+@pytest.mark.parametrize("method", ["md5", "xxhash64"])
+def test_the_wide_fit_keeps_hashes_and_makes_the_places_of_them(spark, monkeypatch, method):
+    crossed = {("fea15", "fea9"): 4_000_000, ("fea9", "fea30"): 1000}
+    small = encoding.EncoderSpec(hashed={"fea9": 500, "fea15": 20000}, crossed=crossed, method=method)
+    spec = training.TrainingSpec(encoder=small, max_iter=2)
+    data = uneven_rows(spark, 500).selectExpr("*", "if(id % 7 = 0, null, concat('x', id)) as fea30", "id as more")
+    staged, plain = {}, training.stage
+
+    def seen(frame, name):
+        found = plain(frame, name)
+        staged[name] = (found.dtypes, found.collect())
+        return found
+
+    monkeypatch.setattr(training, "stage", seen)
+    training.fit(data, training.WIDE, spec)
+    kinds, found = staged.pop("encoded")
+    assert not staged and kinds == [("label", "double"), ("_h_fea9", "int"), ("_h_fea15", "int"), ("_h_fea30", "int")]
+    hashes = np.array([r[1:] for r in found], dtype=np.int64).T + (1 << 31)
+    places = np.stack(list(small.places()(hashes.astype(np.uint32))), axis=1)
+    want = encoding.add_wide_positions(data, small).collect()
+    assert sorted(places.tolist()) == sorted(r.wide for r in want) and places.max() > 2_000_000
+    frame = training.placed(spark.createDataFrame(found, "label double, _h_fea9 int, _h_fea15 int, _h_fea30 int"), spec, "p")
+    assert sorted(r.p for r in frame.collect()) == sorted(places.tolist())
+
+
 def test_the_deep_fit_is_that_of_sparks_perceptron(spark, monkeypatch):
     """The same steps from the same start, none of them by Spark's products of rows in small blocks."""
     spec = training.TrainingSpec(deep_iter=12, partitions=1)
